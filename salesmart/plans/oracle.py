@@ -140,3 +140,188 @@ SELECT {", ".join("f." + c.strip() for c in FACT_COLS.split(","))}, p.current_pr
 FROM fact f JOIN prod p ON f.product_name = p.name"""
     ),
 }
+
+
+# ---------------------------------------------------------------- CSV ingest
+LAYOUT = (
+    "CASE WHEN _line BETWEEN 1 AND 3 THEN 'base' WHEN _line BETWEEN 4 AND 5 THEN 'extra' "
+    "WHEN _line = 6 THEN 'missing' ELSE 'json' END"
+)
+MANDATORY = "customer_id,store_id,product_name,sales_date,sales_person_id,price,quantity,total_cost"
+MISSING_HEADER = "customer_id,product_name,sales_date,sales_person_id,price,quantity,total_cost,payment_mode"
+
+ORACLE.update(
+    {
+        "discovered_files": _q(
+            f"""
+SELECT DISTINCT {LAYOUT} AS landing_dir, CASE WHEN _line = 7 THEN 'json' ELSE 'csv' END AS file_ext
+FROM fact"""
+        ),
+        "header_audit": _q(
+            f"""
+, lay AS (SELECT DISTINCT {LAYOUT} AS landing_dir FROM fact)
+SELECT l.landing_dir, v.header_columns, v.missing, v.extra, v.accepted, v.reason
+FROM lay l JOIN (VALUES
+  ('base', '{MANDATORY}', '', '', true, CAST(NULL AS VARCHAR)),
+  ('extra', '{MANDATORY},payment_mode', '', 'payment_mode', true, CAST(NULL AS VARCHAR)),
+  ('missing', '{MISSING_HEADER}', 'store_id', 'payment_mode', false, 'missing_columns'),
+  ('json', '', '', '', false, 'not_csv')
+) v(landing_dir, header_columns, missing, extra, accepted, reason) ON l.landing_dir = v.landing_dir"""
+        ),
+        "ingested_sales": _q(
+            """
+SELECT CAST(customer_id AS INTEGER) AS customer_id, store_id, product_name, sales_date,
+       CAST(sales_person_id AS INTEGER) AS sales_person_id, price, quantity, total_cost,
+       CASE WHEN _line BETWEEN 4 AND 5 THEN CASE WHEN quantity % 2 = 0 THEN 'cash' ELSE 'UPI' END END
+         AS additional_column
+FROM fact WHERE _line BETWEEN 1 AND 5"""
+        ),
+        "quarantined_lines": _q(
+            f"""
+SELECT {LAYOUT} AS landing_dir,
+       CASE WHEN _line = 6 THEN 'missing_columns' ELSE 'not_csv' END AS reason,
+       CASE WHEN _line = 6 THEN 'store_id' ELSE '' END AS missing,
+       COUNT(*) AS n_lines
+FROM fact WHERE _line >= 6 GROUP BY 1, 2, 3"""
+        ),
+    }
+)
+
+# ---------------------------------------------------------------- sinks
+ORACLE.update(
+    {
+        "flat_mart_roundtrip": ORACLE["customer_mart_detail"],
+        "partitioned_mart_pruned": _q(
+            f"SELECT {SDET_COLS} FROM sdet WHERE sales_month BETWEEN '1996-01' AND '1996-12'"
+        ),
+        "latest_snapshot": ORACLE["sales_team_mart_detail"],
+        "monthly_billing_report": _q(
+            """
+SELECT full_name AS sales_person_name, store_id AS sales_person_store_id, sales_month,
+       CAST(ts AS DECIMAL(10,2)) AS sales_person_total_billing_done_for_each_month,
+       CAST(CASE WHEN rank() OVER (PARTITION BY store_id, sales_month ORDER BY ts DESC) = 1
+                 THEN ts * 0.01 ELSE 0 END AS DECIMAL(10,2)) AS total_incentive
+FROM stm"""
+        ),
+        "sales_team_mart_table": ORACLE["sales_team_month_mart"],
+    }
+)
+
+# ---------------------------------------------------------------- ledger
+LEDGER_FILES = """
+, files AS (
+  SELECT DISTINCT 'sales_data_' || strftime(o_orderdate, '%Y-%m') || '.csv' AS file_name,
+         'sales_data/sales_data_' || strftime(o_orderdate, '%Y-%m') || '.csv' AS path,
+         strftime(o_orderdate, '%Y-%m') AS m
+  FROM orders
+),
+events AS (
+  SELECT file_name, path AS file_location, TIMESTAMP '2024-01-01 00:00:00' AS created_date,
+         CAST(NULL AS TIMESTAMP) AS updated_date, 'A' AS status FROM files WHERE m <= '1996-12'
+  UNION ALL
+  SELECT file_name, path, CAST(NULL AS TIMESTAMP), TIMESTAMP '2024-01-01 01:30:00', 'I'
+  FROM files WHERE m <= '1996-12'
+  UNION ALL
+  SELECT file_name, path, TIMESTAMP '2024-02-01 00:00:00', CAST(NULL AS TIMESTAMP), 'A'
+  FROM files WHERE m BETWEEN '1996-07' AND '1998-12'
+),
+cur AS (
+  SELECT file_name, MIN(created_date) AS created_date, MAX(updated_date) AS updated_date,
+         arg_max(status, COALESCE(updated_date, created_date)) AS status,
+         arg_max(file_location, COALESCE(updated_date, created_date)) AS file_location
+  FROM events GROUP BY file_name
+)"""
+
+
+def _lq(body: str) -> str:
+    return WITH + LEDGER_FILES + "\n" + body.strip()
+
+
+ORACLE.update(
+    {
+        "ledger_started": _lq(
+            """
+SELECT file_name, path AS file_location, TIMESTAMP '2024-02-01 00:00:00' AS created_date,
+       CAST(NULL AS TIMESTAMP) AS updated_date, 'A' AS status
+FROM files WHERE m BETWEEN '1996-07' AND '1998-12'"""
+        ),
+        "ledger_current": _lq(
+            "SELECT file_name, file_location, created_date, updated_date, status FROM cur"
+        ),
+        "ledger_pending": _lq(
+            "SELECT DISTINCT c.file_name FROM cur c JOIN files f ON c.file_name = f.file_name WHERE c.status = 'A'"
+        ),
+        "unprocessed_files": _lq(
+            """
+SELECT f.file_name, f.path FROM files f
+WHERE NOT EXISTS (SELECT 1 FROM cur c WHERE c.file_name = f.file_name AND c.status = 'I')"""
+        ),
+    }
+)
+
+# ---------------------------------------------------------------- synthetic data
+PRODUCT_NAMES = "['quaker oats', 'sugar', 'maida', 'besan', 'refined oil', 'clinic plus', 'dantkanti', 'nutshell']"
+PRODUCT_PRICES = (
+    "[CAST(212 AS DECIMAL(10,2)), 50, 20, 52, 110, CAST(1.5 AS DECIMAL(10,2)), 100, 40]::DECIMAL(10,2)[]"
+)
+
+
+def _pick(tag: str, seed: int, k: int) -> str:
+    return f"(('0x' || substr(md5('{tag}' || '{seed}' || CAST(id AS VARCHAR)), 1, 8))::BIGINT % {k})"
+
+
+def synth_sales_sql(table: str, start: str, days: int, layout: str, seed: int) -> str:
+    store = f"CAST(121 + {_pick('store', seed, 3)} AS INTEGER)"
+    first_seller = f"(({store} - 121) * 3 + 1)"
+    prod = f"CAST({_pick('product', seed, 8)} + 1 AS INTEGER)"
+    inner = f"""
+SELECT CAST(1 + {_pick('customer', seed, 20)} AS INTEGER) AS customer_id,
+       {store} AS store_id,
+       ({PRODUCT_NAMES})[{prod}] AS product_name,
+       CAST(DATE '{start}' + CAST({_pick('date', seed, days + 1)} AS INTEGER) AS DATE) AS sales_date,
+       CAST({first_seller} + {_pick('seller', seed, 3)} AS INTEGER) AS sales_person_id,
+       ({PRODUCT_PRICES})[{prod}] AS price,
+       CAST(1 + {_pick('quantity', seed, 10)} AS INTEGER) AS quantity,
+       (['cash', 'UPI'])[CAST({_pick('payment', seed, 2)} + 1 AS INTEGER)] AS payment_mode,
+       '[' || array_to_string([{first_seller}, {first_seller} + 1, {first_seller} + 2], ', ') || ']'
+         AS seller_list
+FROM (SELECT COUNT(*) AS n FROM {table}) c, range(c.n) t(id)"""
+    base = "customer_id, store_id, product_name, sales_date, sales_person_id, price, quantity"
+    total = "CAST(price * quantity AS DECIMAL(10,2)) AS total_cost"
+    if layout == "base":
+        cols = f"{base}, {total}"
+    elif layout == "extra":
+        cols = f"{base}, {total}, payment_mode"
+    else:
+        cols = (
+            "customer_id, product_name, sales_date, seller_list AS sales_person_id, price, quantity, "
+            f"{total}, payment_mode"
+        )
+    return f"SELECT {cols} FROM ({inner}) s"
+
+
+def synth_customers_sql(table: str, seed: int) -> str:
+    from salesmart.operators.synth import SEED_FIRST_NAMES, SEED_LAST_NAMES
+
+    first = "[" + ", ".join(f"'{n}'" for n in SEED_FIRST_NAMES) + "]"
+    last = "[" + ", ".join(f"'{n}'" for n in SEED_LAST_NAMES) + "]"
+    return f"""
+SELECT id + 1 AS customer_id,
+       ({first})[CAST({_pick('first', seed, len(SEED_FIRST_NAMES))} + 1 AS INTEGER)] AS first_name,
+       ({last})[CAST({_pick('last', seed, len(SEED_LAST_NAMES))} + 1 AS INTEGER)] AS last_name,
+       'Delhi' AS address, '122009' AS pincode,
+       '91' || lpad(CAST({_pick('phone', seed, 10**8)} AS VARCHAR), 8, '0') AS phone_number,
+       CAST(DATE '2020-01-01' + CAST({_pick('joined', seed, 1327 + 1)} AS INTEGER) AS DATE)
+         AS customer_joining_date
+FROM (SELECT COUNT(*) AS n FROM {table}) c, range(c.n) t(id)"""
+
+
+ORACLE.update(
+    {
+        "synth_sales_base": synth_sales_sql("lineitem", "2023-03-03", 170, "base", 0),
+        "synth_sales_day": synth_sales_sql("orders", "2023-08-20", 0, "base", 1),
+        "synth_sales_extra": synth_sales_sql("part", "2023-03-03", 170, "extra", 2),
+        "synth_sales_missing": synth_sales_sql("customer", "2023-03-03", 170, "missing", 3),
+        "synth_customers": synth_customers_sql("customer", 4),
+    }
+)

@@ -74,3 +74,202 @@ QUERIES: dict[str, Query] = {
     "sales_team_month_mart_one_winner": sales_team_month_mart_one_winner,
     "product_enriched_sales": product_enriched_sales,
 }
+
+
+# ---------------------------------------------------------------- CSV ingest
+from salesmart.operators import audit as AU  # noqa: E402
+from salesmart.operators import ingest as IN  # noqa: E402
+from salesmart.sinks import quarantine as QU  # noqa: E402
+from salesmart.session import work_dir  # noqa: E402
+from salesmart.sources import files as FS  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+
+def _landing(spark: SparkSession, sf_dir: str) -> str:
+    return TD.land_sales(spark, sf_dir, work_dir(spark, "landing"))
+
+
+def _landing_dir(path_col: str = "path") -> F.Column:
+    return F.element_at(F.split(F.col(path_col), "/"), -2)
+
+
+def _audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _landing(spark, sf_dir)
+    return AU.audit_landing(spark, FS.discover_files(spark, root))
+
+
+def discovered_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = FS.discover_files(spark, _landing(spark, sf_dir))
+    return files.select(
+        _landing_dir().alias("landing_dir"),
+        F.regexp_extract("file_name", r"\.([^.]+)$", 1).alias("file_ext"),
+    ).distinct()
+
+
+def header_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _audit(spark, sf_dir).select(
+        _landing_dir().alias("landing_dir"),
+        F.array_join("columns", ",").alias("header_columns"),
+        F.array_join("missing", ",").alias("missing"),
+        F.array_join("extra", ",").alias("extra"),
+        "accepted",
+        "reason",
+    ).distinct()
+
+
+def ingested_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return IN.ingest_sales(spark, _audit(spark, sf_dir))
+
+
+def quarantined_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    q = QU.quarantined_lines(spark, _audit(spark, sf_dir)).where(~F.col("is_header"))
+    return q.groupBy(_landing_dir().alias("landing_dir"), "reason", "missing").agg(F.count("*").alias("n_lines"))
+
+
+QUERIES.update(
+    {
+        "discovered_files": discovered_files,
+        "header_audit": header_audit,
+        "ingested_sales": ingested_sales,
+        "quarantined_lines": quarantined_lines,
+    }
+)
+
+# ---------------------------------------------------------------- sinks
+from salesmart.sinks import parquet as PQ  # noqa: E402
+from salesmart.sinks import reports as RP  # noqa: E402
+from salesmart.sinks import tables as TB  # noqa: E402
+from salesmart.sources import tables as ST  # noqa: E402
+
+
+def flat_mart_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = PQ.write_mart(customer_mart_detail(spark, sf_dir), work_dir(spark, "customer_data_mart"))
+    return PQ.read_mart(spark, path)
+
+
+def partitioned_mart_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = PQ.write_partitioned(sales_team_mart_detail(spark, sf_dir), work_dir(spark, "sales_partitioned"))
+    return PQ.read_mart(spark, path).where(F.col("sales_month").between("1996-01", "1996-12"))
+
+
+def latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    detail = sales_team_mart_detail(spark, sf_dir)
+    prefix = work_dir(spark, "sales_snapshots")
+    # An older publication (sales before 1997) and the current one.
+    PQ.publish_snapshot(detail.where(F.col("sales_date") < F.lit("1997-01-01").cast("date")), prefix, 1_000)
+    PQ.publish_snapshot(detail, prefix, 2_000)
+    return PQ.latest_snapshot(spark, prefix)
+
+
+def monthly_billing_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    report = M.monthly_billing_report(sales_team_month_mart(spark, sf_dir))
+    path = RP.write_monthly_report(report, work_dir(spark, "monthly_report"))
+    return RP.read_monthly_report(spark, path)
+
+
+def sales_team_mart_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wd = work_dir(spark, "sales_team_data_mart")
+    table_name = "sales_team_data_mart_" + wd.rsplit("-", 1)[-1]
+    TB.write_table(sales_team_month_mart(spark, sf_dir), table_name, path=wd)
+    return ST.read_table(spark, table_name)
+
+
+QUERIES.update(
+    {
+        "flat_mart_roundtrip": flat_mart_roundtrip,
+        "partitioned_mart_pruned": partitioned_mart_pruned,
+        "latest_snapshot": latest_snapshot,
+        "monthly_billing_report": monthly_billing_report,
+        "sales_team_mart_table": sales_team_mart_table,
+    }
+)
+
+# ---------------------------------------------------------------- ledger
+from salesmart.operators import ledger as LG  # noqa: E402
+
+# A run history over the landed files (one per order month):
+#   run 1 started and finished every month up to 1996-12;
+#   run 2 re-started 1996-07 .. 1998-12 and died before finishing;
+#   later months were never started.
+RUN1_START, RUN1_END = "2024-01-01 00:00:00", "2024-01-01 01:30:00"
+RUN2_START = "2024-02-01 00:00:00"
+
+
+def _ledger_history(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    files = TD.ledger_files(spark, sf_dir)
+    run1 = files.where(F.col("m") <= "1996-12")
+    run2 = files.where(F.col("m").between("1996-07", "1998-12"))
+    events = (
+        LG.ledger_start(run1, RUN1_START)
+        .unionByName(LG.ledger_finish(run1, RUN1_END))
+        .unionByName(LG.ledger_start(run2, RUN2_START))
+    )
+    return files.drop("m"), events
+
+
+def ledger_started(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = TD.ledger_files(spark, sf_dir)
+    return LG.ledger_start(files.where(F.col("m").between("1996-07", "1998-12")), RUN2_START)
+
+
+def ledger_current(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return LG.ledger_current(_ledger_history(spark, sf_dir)[1])
+
+
+def ledger_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files, events = _ledger_history(spark, sf_dir)
+    return LG.ledger_pending(files, events)
+
+
+def unprocessed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files, events = _ledger_history(spark, sf_dir)
+    return LG.unprocessed(files, events).select("file_name", "path")
+
+
+QUERIES.update(
+    {
+        "ledger_started": ledger_started,
+        "ledger_current": ledger_current,
+        "ledger_pending": ledger_pending,
+        "unprocessed_files": unprocessed_files,
+    }
+)
+
+# ---------------------------------------------------------------- synthetic data
+from salesmart.operators import synth as SY  # noqa: E402
+
+
+def _ids_like(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One id per row of a driver table (so the generated volume grows with it)."""
+    return spark.range(TD.table(spark, sf_dir, name).count())
+
+
+def synth_sales_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return SY.synth_sales(_ids_like(spark, sf_dir, "lineitem"), layout="base")
+
+
+def synth_sales_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return SY.synth_sales(_ids_like(spark, sf_dir, "orders"), start="2023-08-20", end="2023-08-20", seed=1)
+
+
+def synth_sales_extra(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return SY.synth_sales(_ids_like(spark, sf_dir, "part"), layout="extra", seed=2)
+
+
+def synth_sales_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return SY.synth_sales(_ids_like(spark, sf_dir, "customer"), layout="missing", seed=3)
+
+
+def synth_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return SY.synth_customers(_ids_like(spark, sf_dir, "customer"), seed=4)
+
+
+QUERIES.update(
+    {
+        "synth_sales_base": synth_sales_base,
+        "synth_sales_day": synth_sales_day,
+        "synth_sales_extra": synth_sales_extra,
+        "synth_sales_missing": synth_sales_missing,
+        "synth_customers": synth_customers,
+    }
+)

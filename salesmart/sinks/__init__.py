@@ -1,0 +1 @@
+"""Sinks: parquet marts (flat, partitioned, versioned), CSV reports, tables, quarantine."""

@@ -112,3 +112,88 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("timestamp_ntz").alias("updated_date"),
         F.lit(None).cast("date").alias("expiry_date"),
     )
+
+
+# Landing layouts assigned from the line number (1–7) of each line item.
+LANDING_LAYOUTS = {"base": (1, 3), "extra": (4, 5), "missing": (6, 6), "json": (7, 7)}
+
+
+def landing_layout(line: F.Column) -> F.Column:
+    expr = None
+    for name, (lo, hi) in LANDING_LAYOUTS.items():
+        cond = line.between(lo, hi)
+        expr = F.when(cond, F.lit(name)) if expr is None else expr.when(cond, F.lit(name))
+    return expr
+
+
+def payment_mode(quantity: F.Column) -> F.Column:
+    return F.when(F.pmod(quantity, F.lit(2)) == 0, F.lit("cash")).otherwise(F.lit("UPI"))
+
+
+def sales_fact_with_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``sales_fact`` plus ``_line`` (``l_linenumber``), used to assign landing layouts."""
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice"
+    )
+    od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    pt = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
+    sp = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    return (
+        li.join(od, li.l_orderkey == od.o_orderkey)
+        .join(pt, li.l_partkey == pt.p_partkey)
+        .join(sp, li.l_suppkey == sp.s_suppkey)
+        .select(
+            F.col("o_custkey").alias("customer_id"),
+            F.col("s_nationkey").alias("store_id"),
+            F.col("p_name").alias("product_name"),
+            F.col("o_orderdate").cast("date").alias("sales_date"),
+            F.col("l_suppkey").alias("sales_person_id"),
+            money("p_retailprice").alias("price"),
+            F.col("l_quantity").cast("int").alias("quantity"),
+            money("l_extendedprice").alias("total_cost"),
+            F.col("l_linenumber").alias("_line"),
+        )
+    )
+
+
+def land_sales(spark: SparkSession, sf_dir: str, root: str) -> str:
+    """Write the fact as landed files under ``root``: every line item lands exactly once.
+
+    ``base/``    header = the 8 mandatory columns (accepted)
+    ``extra/``   + ``payment_mode`` (accepted, folded into ``additional_column``)
+    ``missing/`` no ``store_id``, seller id as a list literal (rejected)
+    ``json/``    JSON lines (not CSV: quarantined)
+    """
+    from pyspark import StorageLevel
+
+    from salesmart.schema import MANDATORY_COLUMNS
+
+    f = (
+        sales_fact_with_line(spark, sf_dir)
+        .withColumn("_layout", landing_layout(F.col("_line")))
+        .withColumn("payment_mode", payment_mode(F.col("quantity")))
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    )
+    try:
+        def part(name: str) -> DataFrame:
+            return f.where(F.col("_layout") == F.lit(name))
+
+        part("base").select(*MANDATORY_COLUMNS).write.option("header", True).csv(f"{root}/base")
+        part("extra").select(*MANDATORY_COLUMNS, "payment_mode").write.option("header", True).csv(f"{root}/extra")
+        part("missing").select(
+            "customer_id", "product_name", "sales_date",
+            F.concat(F.lit("["), F.col("sales_person_id").cast("string"), F.lit("]")).alias("sales_person_id"),
+            "price", "quantity", "total_cost", "payment_mode",
+        ).write.option("header", True).csv(f"{root}/missing")
+        part("json").select(*MANDATORY_COLUMNS).write.json(f"{root}/json")
+    finally:
+        f.unpersist()
+    return root
+
+
+def ledger_files(spark: SparkSession, sf_dir: str, prefix: str = "sales_data") -> DataFrame:
+    """One logical landed file per order month: ``sales_data_yyyy-MM.csv``."""
+    od = table(spark, sf_dir, "orders")
+    m = od.select(F.date_format("o_orderdate", "yyyy-MM").alias("m")).distinct()
+    name = F.concat(F.lit("sales_data_"), F.col("m"), F.lit(".csv"))
+    return m.select(name.alias("file_name"), F.concat(F.lit(prefix + "/"), name).alias("path"), "m")
