@@ -325,3 +325,39 @@ ORACLE.update(
         "synth_customers": synth_customers_sql("customer", 4),
     }
 )
+
+
+# ---------------------------------------------------------------- whole job (accepted layouts only)
+ACCEPTED_STM = """
+, acc AS (
+  SELECT CAST(e.store_id AS INTEGER) AS store_id, CAST(e.sales_person_id AS INTEGER) AS sales_person_id,
+         e.sales_person_first_name || ' ' || e.sales_person_last_name AS full_name,
+         strftime(e.sales_date, '%Y-%m') AS sales_month, e.total_cost,
+         CAST(e.customer_id AS INTEGER) AS customer_id, e.first_name, e.last_name, e.address,
+         e.phone_number, e.sales_date
+  FROM enr e WHERE e._line BETWEEN 1 AND 5
+),
+astm AS (
+  SELECT store_id, sales_person_id, full_name, sales_month, SUM(total_cost) AS ts FROM acc GROUP BY 1, 2, 3, 4
+)"""
+
+ORACLE.update(
+    {
+        "pipeline_sales_team_mart": _q(
+            ACCEPTED_STM
+            + """
+SELECT store_id, sales_person_id, full_name, sales_month, CAST(ts AS DECIMAL(10,2)) AS total_sales,
+       CAST(CASE WHEN rank() OVER (PARTITION BY store_id, sales_month ORDER BY ts DESC) = 1
+                 THEN ts * 0.01 ELSE 0 END AS DECIMAL(10,2)) AS incentive
+FROM astm"""
+        ),
+        "pipeline_customer_month_mart": _q(
+            ACCEPTED_STM
+            + """
+SELECT customer_id, first_name || ' ' || last_name AS full_name, address, phone_number,
+       CAST(date_trunc('month', sales_date) AS DATE) AS sales_date_month,
+       CAST(SUM(total_cost) AS DECIMAL(10,2)) AS total_sales
+FROM acc GROUP BY 1, 2, 3, 4, 5"""
+        ),
+    }
+)

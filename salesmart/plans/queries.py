@@ -273,3 +273,36 @@ QUERIES.update(
         "synth_customers": synth_customers,
     }
 )
+
+# ---------------------------------------------------------------- whole job
+from salesmart.plans.pipeline import run_pipeline  # noqa: E402
+
+
+def _pipeline(spark: SparkSession, sf_dir: str):
+    root = _landing(spark, sf_dir)
+    return run_pipeline(
+        spark,
+        root,
+        work_dir(spark, "pipeline"),
+        TD.customers(spark, sf_dir),
+        TD.stores(spark, sf_dir),
+        TD.sales_team(spark, sf_dir),
+    )
+
+
+def pipeline_sales_team_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    res = _pipeline(spark, sf_dir)
+    return spark.read.parquet(res.paths["sales_team_month_mart"])
+
+
+def pipeline_customer_month_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    res = _pipeline(spark, sf_dir)
+    return spark.read.parquet(res.paths["customers_data_mart"])
+
+
+QUERIES.update(
+    {
+        "pipeline_sales_team_mart": pipeline_sales_team_mart,
+        "pipeline_customer_month_mart": pipeline_customer_month_mart,
+    }
+)

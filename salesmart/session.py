@@ -18,6 +18,10 @@ SCALE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Rebalanced partitioned writes: let AQE split hot partitions and merge
+    # small ones, but not below 64 KB so a tiny input still writes in parallel.
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions": "true",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
