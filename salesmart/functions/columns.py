@@ -24,8 +24,8 @@ def money(col: Column | str) -> Column:
 
 
 def month_key(col: Column | str) -> Column:
-    """P6 — ``'yyyy-MM'`` month key of a date (same text as ``substring(date, 1, 7)``)."""
-    return F.date_format(_c(col), "yyyy-MM")
+    """P6 — ``'yyyy-MM'`` month key: ``substring(cast(date as string), 1, 7)`` (no time zone involved)."""
+    return F.substring(_c(col).cast("date").cast("string"), 1, 7)
 
 
 def month_start(col: Column | str) -> Column:
