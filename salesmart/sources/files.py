@@ -71,26 +71,116 @@ def parse_header(header: F.Column) -> F.Column:
     )
 
 
-def read_headers(spark: SparkSession, files: DataFrame) -> DataFrame:
-    """S3 — ``files`` plus ``header`` (first line) and ``columns`` (parsed names).
+HEADER_SCHEMA = T.StructType(
+    [
+        T.StructField("path", T.StringType()),
+        T.StructField("header", T.StringType()),
+        T.StructField("read_ok", T.BooleanType()),
+    ]
+)
 
-    A zero-byte file has no first line: ``header`` is null and ``columns`` empty.
-    """
-    paths = paths_of(files)
-    if not paths:
-        return files.select("*", F.lit(None).cast("string").alias("header"),
-                            F.array().cast("array<string>").alias("columns"))
+# Bytes read per file at most when looking for the first line break.
+HEADER_PROBE_BYTES = 1 << 16
+
+
+def _open_input(path: str):
+    """Open ``path`` for reading with pyarrow's filesystems (None when unsupported)."""
+    from urllib.parse import unquote, urlparse
+
+    import pyarrow.fs as pafs
+
+    if path.startswith("file:"):
+        local = unquote(urlparse(path).path) if "%" in path else path[len("file:"):]
+        while local.startswith("//"):
+            local = local[1:]
+        return pafs.LocalFileSystem().open_input_stream(local)
+    uri = "s3://" + path[len("s3a://"):] if path.startswith("s3a://") else path
+    fs, rel = pafs.FileSystem.from_uri(uri)
+    return fs.open_input_stream(rel)
+
+
+def _first_line(path: str) -> tuple[str | None, bool]:
+    """First line of a file (``None`` for a zero-byte file); ``False`` if it cannot be opened."""
+    try:
+        with _open_input(path) as f:
+            buf = b""
+            while len(buf) < HEADER_PROBE_BYTES:
+                chunk = f.read(8192)
+                if not chunk:
+                    break
+                buf += chunk
+                if b"\n" in chunk or b"\r" in chunk:
+                    break
+    except Exception:  # unsupported scheme, permissions, ...
+        return None, False
+    if not buf:
+        return None, True
+    line = buf.replace(b"\r\n", b"\n").replace(b"\r", b"\n").split(b"\n", 1)[0]
+    return line.decode("utf-8", errors="replace"), True
+
+
+def _first_lines(batches):
+    """``mapInPandas`` body: read the first line of each file, a few files at a time in parallel."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    import pandas as pd
+
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        for pdf in batches:
+            res = list(pool.map(_first_line, pdf["path"].tolist()))
+            yield pd.DataFrame(
+                {"path": pdf["path"], "header": [h for h, _ in res], "read_ok": [ok for _, ok in res]}
+            )
+
+
+def _headers_by_split(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Spark-only header read: first line of each file's first split (reads that split whole)."""
     lines = spark.read.text(paths).select(
         normalise_path(F.col("_metadata.file_path")).alias("path"),
         F.col("_metadata.file_block_start").alias("_start"),
         "value",
     )
-    firsts = (
+    return (
         lines.where(F.col("_start") == 0)
         .withColumn("_rid", F.monotonically_increasing_id())
         .groupBy("path")
         .agg(F.min_by("value", "_rid").alias("header"))
     )
+
+
+def read_headers(spark: SparkSession, files: DataFrame, method: str = "auto") -> DataFrame:
+    """S3 — ``files`` plus ``header`` (first line) and ``columns`` (parsed names).
+
+    ``method="probe"`` reads at most 64 KB of each file inside Spark tasks
+    (``mapInPandas`` over the file list), so the audit costs O(files), not
+    O(data); ``"split"`` uses Spark's text source (first split of every file);
+    ``"auto"`` probes and falls back to ``"split"`` for files the probe cannot
+    open.  A zero-byte file has no first line: ``header`` is null, ``columns``
+    empty.
+    """
+    empty_cols = F.array().cast("array<string>")
+    if method not in ("auto", "probe", "split"):
+        raise ValueError("method must be 'auto', 'probe' or 'split'")
+    if method == "split":
+        paths = paths_of(files)
+        if not paths:
+            return files.select("*", F.lit(None).cast("string").alias("header"), empty_cols.alias("columns"))
+        firsts = _headers_by_split(spark, paths)
+    else:
+        probed = files.select("path").mapInPandas(_first_lines, HEADER_SCHEMA)
+        if method == "auto":
+            # One row per file; a reliable checkpoint so the probe runs once for both uses.
+            from salesmart.session import ensure_checkpoint_dir
+
+            ensure_checkpoint_dir(spark)
+            probed = probed.checkpoint(eager=True)
+        firsts = probed.select("path", "header")
+        if method == "auto":
+            unread = [r.path for r in probed.where(~F.col("read_ok")).select("path").collect()]
+            if unread:
+                firsts = firsts.join(
+                    _headers_by_split(spark, unread).withColumnRenamed("header", "_h2"), "path", "left"
+                ).select("path", F.coalesce("header", "_h2").alias("header"))
     return files.join(firsts, "path", "left").select(
-        "*", F.coalesce(parse_header(F.col("header")), F.array().cast("array<string>")).alias("columns")
+        "*", F.coalesce(parse_header(F.col("header")), empty_cols).alias("columns")
     )

@@ -133,3 +133,26 @@ def test_quarantine_written_by_reason(spark, audit):
     quarantine(spark, audit, out + "/q")
     back = spark.read.parquet(out + "/q")
     assert sorted(r.reason for r in back.select("reason").distinct().collect()) == ["missing_columns", "not_csv"]
+
+
+def test_header_methods_agree(spark, landing):
+    from salesmart.sources.files import read_headers, split_by_suffix
+
+    csv, _ = split_by_suffix(discover_files(spark, landing))
+    got = {}
+    for m in ("probe", "split", "auto"):
+        got[m] = sorted((r.file_name, r.header, tuple(r.columns)) for r in read_headers(spark, csv, m).collect())
+    assert got["probe"] == got["split"] == got["auto"]
+    plan = read_headers(spark, csv, "probe")._jdf.queryExecution().executedPlan().toString()
+    assert "MapInPandas" in plan
+
+
+def test_first_line_reader(tmp_path):
+    from salesmart.sources.files import _first_line
+
+    p = tmp_path / "a b.csv"
+    p.write_bytes(b"x,y\r\nz\r\n")
+    assert _first_line("file:" + str(p)) == ("x,y", True)
+    (tmp_path / "e.csv").write_bytes(b"")
+    assert _first_line("file:" + str(tmp_path / "e.csv")) == (None, True)
+    assert _first_line("nosuchscheme://x/y")[1] is False
