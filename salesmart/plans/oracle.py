@@ -361,3 +361,5 @@ FROM acc GROUP BY 1, 2, 3, 4, 5"""
         ),
     }
 )
+
+ORACLE["streaming_sales_team_mart"] = ORACLE["pipeline_sales_team_mart"]

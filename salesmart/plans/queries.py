@@ -306,3 +306,26 @@ QUERIES.update(
         "pipeline_customer_month_mart": pipeline_customer_month_mart,
     }
 )
+
+# ---------------------------------------------------------------- incremental (Structured Streaming)
+from salesmart.streaming.landing import process_landing_stream  # noqa: E402
+
+
+def streaming_sales_team_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Same mart as ``pipeline_sales_team_mart``, built incrementally two files per micro-batch."""
+    root = _landing(spark, sf_dir)
+    wd = work_dir(spark, "stream")
+    paths = process_landing_stream(
+        spark,
+        root,
+        f"{wd}/out",
+        f"{wd}/checkpoint",
+        TD.customers(spark, sf_dir),
+        TD.stores(spark, sf_dir),
+        TD.sales_team(spark, sf_dir),
+        max_files_per_trigger=2,
+    )
+    return spark.read.parquet(paths.sales_team_month_mart)
+
+
+QUERIES["streaming_sales_team_mart"] = streaming_sales_team_mart
