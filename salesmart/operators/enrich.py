@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, broadcast_if_bounded
+from salesmart.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, broadcast_all_bounded, broadcast_if_bounded
 
 CUSTOMER_ATTRS = ["first_name", "last_name", "address", "pincode", "phone_number", "customer_joining_date"]
 STORE_ATTRS = ["store_address", "store_pincode", "store_manager_name", "store_opening_date", "store_reviews"]
@@ -71,9 +71,9 @@ def enrich(
     """J1–J3 — fact ⋈ sales_team ⋈ store ⋈ customer (equi-joins on the ids)."""
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
-    st = broadcast_if_bounded(sales_team_dim(sales_team), broadcast_max_rows)
-    so = broadcast_if_bounded(store_dim(store), broadcast_max_rows)
-    cu = broadcast_if_bounded(customer_dim(customer), broadcast_max_rows)
+    st, so, cu = broadcast_all_bounded(
+        [sales_team_dim(sales_team), store_dim(store), customer_dim(customer)], broadcast_max_rows
+    )
     joined = fact.join(st, "sales_person_id", how).join(so, "store_id", how).join(cu, "customer_id", how)
     return joined.select(*fact.columns, *CUSTOMER_ATTRS, *STORE_ATTRS, *SALES_TEAM_ATTRS)
 

@@ -21,6 +21,23 @@ def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def rows_at_most(dfs: list[DataFrame], max_rows: int) -> list[bool]:
+    """``row_count_at_most`` for several frames in **one** job (a union of bounded probes)."""
+    from functools import reduce
+
+    probes = [df.limit(max_rows + 1).select(F.lit(i).alias("_probe")) for i, df in enumerate(dfs)]
+    counts = {r["_probe"]: r["n"] for r in reduce(DataFrame.unionAll, probes).groupBy("_probe")
+              .agg(F.count("*").alias("n")).collect()}
+    return [counts.get(i, 0) <= max_rows for i in range(len(dfs))]
+
+
+def broadcast_all_bounded(dfs: list[DataFrame], max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS) -> list[DataFrame]:
+    """``broadcast_if_bounded`` for several frames, probing them together."""
+    if max_rows is None or max_rows <= 0:
+        return list(dfs)
+    return [F.broadcast(df) if ok else df for df, ok in zip(dfs, rows_at_most(dfs, max_rows))]
+
+
 def broadcast_if_bounded(df: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
     """``broadcast(df)`` if a bounded probe proves ``df`` small, else ``df`` unchanged.
 

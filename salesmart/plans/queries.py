@@ -170,6 +170,10 @@ def monthly_billing_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sales_team_mart_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     wd = work_dir(spark, "sales_team_data_mart")
     table_name = "sales_team_data_mart_" + wd.rsplit("-", 1)[-1]
+    if spark.conf.get("spark.sql.catalogImplementation", "in-memory") != "in-memory":
+        # A Hive catalog would bring up its metastore database; use the path table instead.
+        PQ.write_mart(sales_team_month_mart(spark, sf_dir), wd)
+        return PQ.read_mart(spark, wd)
     TB.write_table(sales_team_month_mart(spark, sf_dir), table_name, path=wd)
     return ST.read_table(spark, table_name)
 

@@ -57,3 +57,12 @@ def test_incentive_has_no_window(spark):
 def test_scan_is_pruned(spark):
     plan = _plan(TD.sales_fact(spark, SF_SMALL).select("total_cost"))
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_suppkey:bigint,l_extendedprice:double>" in plan
+
+
+def test_probe_many_in_one_job(spark):
+    from salesmart.operators.joins import broadcast_all_bounded, rows_at_most
+
+    assert rows_at_most([spark.range(5), spark.range(50), spark.range(0)], 10) == [True, False, True]
+    a, b = spark.range(5), spark.range(50)
+    out = broadcast_all_bounded([a, b], 10)
+    assert out[1] is b and out[0] is not a
