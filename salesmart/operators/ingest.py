@@ -66,15 +66,18 @@ def conform(df: DataFrame, extra_cols: list[str], keep_corrupt: bool = False) ->
 
 def ingest_sales(spark: SparkSession, audit: DataFrame, keep_corrupt: bool = False) -> DataFrame:
     """U1 — union (by name, duplicates kept) of every accepted layout."""
-    layouts = (
-        audit.where(F.col("accepted"))
-        .groupBy("columns", "extra")
-        .agg(F.collect_list("path").alias("paths"))
-        .collect()
-    )
+    accepted = audit.where(F.col("accepted"))
+    # The distinct layouts are few; each layout's paths come back as plain rows (the
+    # driver needs them to plan the read) — never aggregated into one row by one task.
+    layouts = accepted.select("columns", "extra").distinct().collect()
     if not layouts:
         raise NoDataError("No Data available with correct files")
-    parts = [conform(read_layout(spark, r.paths, list(r.columns)), list(r.extra), keep_corrupt) for r in layouts]
+    parts = []
+    for r in layouts:
+        cols = list(r.columns)
+        same = F.col("columns") == F.array(*[F.lit(c) for c in cols]).cast("array<string>")
+        paths = [p.path for p in accepted.where(same).select("path").collect()]
+        parts.append(conform(read_layout(spark, paths, cols), list(r.extra), keep_corrupt))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 

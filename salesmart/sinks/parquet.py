@@ -12,7 +12,6 @@ import re
 import time
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SALES_TEAM_PARTITIONS = ("sales_month", "store_id")
@@ -62,10 +61,30 @@ def publish_snapshot(
 ) -> int:
     """K3 — publish ``df`` as ``{prefix}/version={v}/{partitions}/…`` (no local copy)."""
     v = snapshot_version() if version is None else int(version)
-    write_partitioned(df, f"{prefix.rstrip('/')}/version={v}", partition_cols, mode="errorifexists")
+    prefix = prefix.rstrip("/")
+    write_partitioned(df, f"{prefix}/version={v}", partition_cols, mode="errorifexists")
+    # Pointer written after the data: readers never see a half-written version.
+    current = _pointer(df.sparkSession, prefix)
+    if current is None or v > current:
+        df.sparkSession.createDataFrame([(str(v),)], "value string").coalesce(1).write.mode("overwrite").text(
+            f"{prefix}/{LATEST_POINTER}"
+        )
     return v
 
 
+# Hidden from partition discovery (leading underscore).
+LATEST_POINTER = "_latest_version"
+
+
+def _pointer(spark: SparkSession, prefix: str) -> int | None:
+    try:
+        rows = spark.read.text(f"{prefix}/{LATEST_POINTER}").collect()
+    except Exception:  # no pointer yet
+        return None
+    vals = [int(r.value) for r in rows if r.value and r.value.strip().isdigit()]
+    return max(vals) if vals else None
+
+
 _VERSION = re.compile(r"/version=(\d+)/")
 
 
@@ -76,15 +95,20 @@ def snapshot_versions(spark: SparkSession, prefix: str) -> list[int]:
 
 
 def latest_snapshot(spark: SparkSession, prefix: str, schema: T.StructType | None = None) -> DataFrame:
-    """S7 + K3 — the newest published snapshot; older versions are pruned at planning time."""
-    versions = snapshot_versions(spark, prefix)
-    if not versions:
-        raise FileNotFoundError(f"no snapshot under {prefix}")
-    reader = spark.read
-    if schema is not None:
-        reader = reader.schema(T.StructType(list(schema.fields) + [T.StructField("version", T.LongType())]))
-    df = reader.parquet(prefix)
-    return df.where(F.col("version") == F.lit(versions[-1])).drop("version")
+    """S7 + K3 — the newest published snapshot, read from its own folder only.
+
+    The version comes from the ``_latest_version`` pointer (no listing of older
+    versions); without a pointer the versions are listed.
+    """
+    prefix = prefix.rstrip("/")
+    v = _pointer(spark, prefix)
+    if v is None:  # no pointer: fall back to listing the versions
+        versions = snapshot_versions(spark, prefix)
+        if not versions:
+            raise FileNotFoundError(f"no snapshot under {prefix}")
+        v = versions[-1]
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return reader.parquet(f"{prefix}/version={v}")
 
 
 def read_mart(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:

@@ -20,6 +20,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesmart.functions.columns import money
+from salesmart.schema import FACT_SCHEMA
+
+FACT_COLUMNS = FACT_SCHEMA.fieldNames()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,27 +31,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def sales_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sales fact in the fixed fact layout (§1.2), one row per line item."""
-    li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"
-    )
-    od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    pt = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
-    sp = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    return (
-        li.join(od, li.l_orderkey == od.o_orderkey)
-        .join(pt, li.l_partkey == pt.p_partkey)
-        .join(sp, li.l_suppkey == sp.s_suppkey)
-        .select(
-            F.col("o_custkey").alias("customer_id"),
-            F.col("s_nationkey").alias("store_id"),
-            F.col("p_name").alias("product_name"),
-            F.col("o_orderdate").cast("date").alias("sales_date"),
-            F.col("l_suppkey").alias("sales_person_id"),
-            money("p_retailprice").alias("price"),
-            F.col("l_quantity").cast("int").alias("quantity"),
-            money("l_extendedprice").alias("total_cost"),
-            F.lit(None).cast("string").alias("additional_column"),
-        )
+    return sales_fact_with_line(spark, sf_dir).select(
+        *[c for c in FACT_COLUMNS if c != "additional_column"],
+        F.lit(None).cast("string").alias("additional_column"),
     )
 
 

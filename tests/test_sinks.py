@@ -85,3 +85,17 @@ def test_empty_sales_and_preview(spark):
     e = ST.empty_sales(spark)
     assert e.schema == FACT_SCHEMA and e.count() == 0
     assert PQ.preview(spark.range(100), 20).count() == 20
+
+
+def test_latest_snapshot_without_pointer_lists(spark, out):
+    df = _mart(spark)
+    PQ.write_partitioned(df.where("v < 20"), out + "/snap2/version=5")
+    PQ.write_partitioned(df, out + "/snap2/version=7")
+    assert PQ.latest_snapshot(spark, out + "/snap2").count() == 3
+
+
+def test_pointer_never_moves_back(spark, out):
+    df = _mart(spark)
+    PQ.publish_snapshot(df, out + "/snap3", version=2000)
+    PQ.publish_snapshot(df.where("v < 20"), out + "/snap3", version=1000)  # late, older publication
+    assert PQ.latest_snapshot(spark, out + "/snap3").count() == 3
