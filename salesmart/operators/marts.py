@@ -85,11 +85,18 @@ def sales_person_month_totals(detail: DataFrame) -> DataFrame:
     ).agg(F.sum("total_cost").alias("_total"))
 
 
-def sales_team_month_mart(detail: DataFrame, scope: str = "store_month", ties: str = "all") -> DataFrame:
+def sales_team_month_mart(
+    detail: DataFrame, scope: str = "store_month", ties: str = "all", materialize: bool = False
+) -> DataFrame:
     """W1 — monthly totals; the top seller of each scope group earns 1 % of their total.
 
     scope: ``"store_month"`` (top per store and month) or ``"month"`` (top per month).
     ties:  ``"all"`` every tied top seller is paid; ``"one"`` only the lowest id.
+    materialize: cut the seller-month totals with a reliable ``checkpoint()`` (eager)
+        so both uses read them once.  Without it the plan relies on AQE reusing
+        the totals' exchange, which it does not always do once the input itself
+        has shuffles (then the input joins run twice).  The totals are one row
+        per seller and month — small next to the detail.
     """
     keys = {"store_month": ["store_id", "sales_month"], "month": ["sales_month"]}.get(scope)
     if keys is None:
@@ -98,6 +105,11 @@ def sales_team_month_mart(detail: DataFrame, scope: str = "store_month", ties: s
         raise ValueError("ties must be 'all' or 'one'")
 
     m = sales_person_month_totals(detail)
+    if materialize:
+        from salesmart.session import ensure_checkpoint_dir
+
+        ensure_checkpoint_dir(detail.sparkSession)
+        m = m.checkpoint(eager=True)
     rank_key = F.struct(F.col("_total").alias("t"), (-F.col("sales_person_id")).alias("i"))
     top_expr = F.max("_total") if ties == "all" else F.max(rank_key)
     # Aliased keys: new attribute ids, so the join back is not an ambiguous self-join.

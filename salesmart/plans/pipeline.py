@@ -156,7 +156,9 @@ def run_pipeline(
     with step("aggregate_marts"):
         PQ.write_mart(MA.customer_month_mart(cdet), paths["customers_data_mart"])
         PQ.write_mart(MA.customer_day_mart(cdet), paths["customer_day_mart"])
-        PQ.write_mart(MA.sales_team_month_mart(sdet, scope=scope, ties=ties), paths["sales_team_month_mart"])
+        PQ.write_mart(
+            MA.sales_team_month_mart(sdet, scope=scope, ties=ties, materialize=True), paths["sales_team_month_mart"]
+        )
         mart = spark.read.parquet(paths["sales_team_month_mart"])
     with step("report"):
         RP.write_monthly_report(MA.monthly_billing_report(mart), paths["monthly_report"])

@@ -47,15 +47,17 @@ def customer_day_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sales_team_month_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.sales_team_month_mart(sales_team_mart_detail(spark, sf_dir), scope="store_month")
+    return M.sales_team_month_mart(sales_team_mart_detail(spark, sf_dir), scope="store_month", materialize=True)
 
 
 def sales_team_month_mart_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.sales_team_month_mart(sales_team_mart_detail(spark, sf_dir), scope="month")
+    return M.sales_team_month_mart(sales_team_mart_detail(spark, sf_dir), scope="month", materialize=True)
 
 
 def sales_team_month_mart_one_winner(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.sales_team_month_mart(sales_team_mart_detail(spark, sf_dir), scope="store_month", ties="one")
+    return M.sales_team_month_mart(
+        sales_team_mart_detail(spark, sf_dir), scope="store_month", ties="one", materialize=True
+    )
 
 
 def product_enriched_sales(spark: SparkSession, sf_dir: str) -> DataFrame:

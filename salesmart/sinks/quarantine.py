@@ -29,12 +29,14 @@ QUARANTINE_SCHEMA = T.StructType(
 
 
 def quarantined_lines(spark: SparkSession, audit: DataFrame) -> DataFrame:
-    """Every line of every rejected file; ``is_header`` marks a CSV file's first line.
+    """Every line of every rejected file; ``is_header`` marks a CSV file's header line.
 
+    One scan of the rejected files: the header text is already in the audit, so
+    a line is a header when it sits in the file's first split and equals it.
     Zero-byte files have no lines; they stay visible in the audit.
     """
     rejected = audit.where(~F.col("accepted")).select(
-        "path", "file_name", "reason", F.array_join("missing", ",").alias("missing")
+        "path", "file_name", "reason", F.array_join("missing", ",").alias("missing"), "header"
     )
     paths = paths_of(rejected)
     if not paths:
@@ -42,19 +44,15 @@ def quarantined_lines(spark: SparkSession, audit: DataFrame) -> DataFrame:
     lines = spark.read.text(paths).select(
         normalise_path(F.col("_metadata.file_path")).alias("path"),
         F.col("_metadata.file_block_start").alias("_start"),
-        F.monotonically_increasing_id().alias("_rid"),
         F.col("value").alias("line"),
     )
-    firsts = lines.where(F.col("_start") == 0).groupBy("path").agg(F.min("_rid").alias("_first"))
-    meta = broadcast_if_bounded(rejected.join(firsts, "path", "left"))
-    return lines.join(meta, "path").select(
-        "file_name",
-        "path",
-        "reason",
-        "missing",
-        ((F.col("reason") != REASON_NOT_CSV) & (F.col("_rid") == F.col("_first"))).alias("is_header"),
-        "line",
+    meta = broadcast_if_bounded(rejected)
+    is_header = (
+        (F.col("reason") != REASON_NOT_CSV) & (F.col("_start") == 0) & F.coalesce(F.col("line") == F.col("header"),
+                                                                                  F.lit(False))
     )
+    return lines.join(meta, "path").select("file_name", "path", "reason", "missing", is_header.alias("is_header"),
+                                           "line")
 
 
 def quarantine(spark: SparkSession, audit: DataFrame, path: str, mode: str = "overwrite") -> DataFrame:

@@ -134,7 +134,7 @@ def make_batch_handler(
             MA.customer_day_mart(cdet).withColumn("sales_month", month_key("sales_date")), paths.customer_day_mart
         )
         _write_months(
-            MA.sales_team_month_mart(MA.sales_team_mart_detail(scoped), scope=scope, ties=ties),
+            MA.sales_team_month_mart(MA.sales_team_mart_detail(scoped), scope=scope, ties=ties, materialize=True),
             paths.sales_team_month_mart,
         )
         LG.append_ledger(LG.ledger_finish(accepted, ts_literal(F.current_timestamp())), paths.ledger)
