@@ -40,6 +40,20 @@ from salesmart.sinks import tables as TB
 from salesmart.sources import files as FS
 
 
+ALL_OUTPUTS = frozenset(
+    {
+        "customer_data_mart",
+        "sales_team_data_mart",
+        "sales_partitioned_data_mart",
+        "snapshots",
+        "customers_data_mart",
+        "customer_day_mart",
+        "sales_team_month_mart",
+        "monthly_report",
+    }
+)
+
+
 class RerunRequired(RuntimeError):
     """A previous run left files unfinished and ``strict=True`` was asked."""
 
@@ -75,13 +89,21 @@ def run_pipeline(
     strict: bool = False,
     partition_overwrite: str = "static",
     table_options: dict | None = None,
+    outputs: frozenset[str] | None = None,
     clock=_now,
 ) -> PipelineResult:
     """Run the job once over ``landing``; outputs go under ``out``.
 
     ``table_options`` (e.g. ``{"url": ..., "properties": {...}}``) sends the two
-    aggregate marts to SQL tables as well (K4).
+    aggregate marts to SQL tables as well (K4).  ``outputs`` limits which marts
+    are written (default: all of ``ALL_OUTPUTS``); the flat, partitioned and
+    snapshot sales-team marts are three copies of fact-sized data, so a large
+    deployment may keep only the ones it reads.
     """
+    want = ALL_OUTPUTS if outputs is None else frozenset(outputs)
+    unknown = want - ALL_OUTPUTS
+    if unknown:
+        raise ValueError(f"unknown outputs: {sorted(unknown)}")
     out = out.rstrip("/")
     ledger_path = ledger_path or f"{out}/_ledger"
     paths = {
@@ -145,23 +167,34 @@ def run_pipeline(
     # 7. marts
     cdet = MA.customer_mart_detail(enriched)
     sdet = MA.sales_team_mart_detail(enriched)
+    version = 0
     with step("detail_marts"):
-        PQ.write_mart(cdet, paths["customer_data_mart"])
-        PQ.write_mart(sdet, paths["sales_team_data_mart"])
-    with step("partitioned_mart"):
-        PQ.write_partitioned(sdet, paths["sales_partitioned_data_mart"], overwrite=partition_overwrite)
-    with step("snapshot"):
-        version = PQ.publish_snapshot(sdet, paths["snapshots"])
+        if "customer_data_mart" in want:
+            PQ.write_mart(cdet, paths["customer_data_mart"])
+        if "sales_team_data_mart" in want:
+            PQ.write_mart(sdet, paths["sales_team_data_mart"])
+    if "sales_partitioned_data_mart" in want:
+        with step("partitioned_mart"):
+            PQ.write_partitioned(sdet, paths["sales_partitioned_data_mart"], overwrite=partition_overwrite)
+    if "snapshots" in want:
+        with step("snapshot"):
+            version = PQ.publish_snapshot(sdet, paths["snapshots"])
 
     with step("aggregate_marts"):
-        PQ.write_mart(MA.customer_month_mart(cdet), paths["customers_data_mart"])
-        PQ.write_mart(MA.customer_day_mart(cdet), paths["customer_day_mart"])
-        PQ.write_mart(
-            MA.sales_team_month_mart(sdet, scope=scope, ties=ties, materialize=True), paths["sales_team_month_mart"]
-        )
-        mart = spark.read.parquet(paths["sales_team_month_mart"])
-    with step("report"):
-        RP.write_monthly_report(MA.monthly_billing_report(mart), paths["monthly_report"])
+        if "customers_data_mart" in want or table_options:
+            PQ.write_mart(MA.customer_month_mart(cdet), paths["customers_data_mart"])
+        if "customer_day_mart" in want:
+            PQ.write_mart(MA.customer_day_mart(cdet), paths["customer_day_mart"])
+        need_mart = {"sales_team_month_mart", "monthly_report"} & want or table_options
+        if need_mart:
+            PQ.write_mart(
+                MA.sales_team_month_mart(sdet, scope=scope, ties=ties, materialize=True),
+                paths["sales_team_month_mart"],
+            )
+            mart = spark.read.parquet(paths["sales_team_month_mart"])
+    if "monthly_report" in want:
+        with step("report"):
+            RP.write_monthly_report(MA.monthly_billing_report(mart), paths["monthly_report"])
     if table_options:
         with step("tables"):
             cm = spark.read.parquet(paths["customers_data_mart"])

@@ -72,3 +72,12 @@ def test_crash_then_rerun(spark):
 
     with pytest.raises(NoDataError):
         run_pipeline(spark, landing, out + "/c", customer, store, team, ledger_path=ledger)
+
+
+def test_selected_outputs_only(spark):
+    customer, store, _, team = dimensions(spark)
+    out = tempfile.mkdtemp(prefix="salesmart-sel-")
+    res = run_pipeline(spark, _landing(), out, customer, store, team, outputs={"sales_team_month_mart"})
+    assert spark.read.parquet(res.paths["sales_team_month_mart"]).count() > 0
+    assert not os.path.exists(res.paths["sales_partitioned_data_mart"].replace("file:", ""))
+    assert "snapshot" not in res.timings
