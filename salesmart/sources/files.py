@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesmart.functions.columns import file_base_name, normalise_path
+from salesmart.sources.probe import first_lines_task
 
 FILES_SCHEMA = T.StructType([T.StructField("path", T.StringType(), False)])
 
@@ -79,60 +80,6 @@ HEADER_SCHEMA = T.StructType(
     ]
 )
 
-# Bytes read per file at most when looking for the first line break.
-HEADER_PROBE_BYTES = 1 << 16
-
-
-def _open_input(path: str):
-    """Open ``path`` for reading with pyarrow's filesystems (None when unsupported)."""
-    from urllib.parse import unquote, urlparse
-
-    import pyarrow.fs as pafs
-
-    if path.startswith("file:"):
-        local = unquote(urlparse(path).path) if "%" in path else path[len("file:"):]
-        while local.startswith("//"):
-            local = local[1:]
-        return pafs.LocalFileSystem().open_input_stream(local)
-    uri = "s3://" + path[len("s3a://"):] if path.startswith("s3a://") else path
-    fs, rel = pafs.FileSystem.from_uri(uri)
-    return fs.open_input_stream(rel)
-
-
-def _first_line(path: str) -> tuple[str | None, bool]:
-    """First line of a file (``None`` for a zero-byte file); ``False`` if it cannot be opened."""
-    try:
-        with _open_input(path) as f:
-            buf = b""
-            while len(buf) < HEADER_PROBE_BYTES:
-                chunk = f.read(8192)
-                if not chunk:
-                    break
-                buf += chunk
-                if b"\n" in chunk or b"\r" in chunk:
-                    break
-    except Exception:  # unsupported scheme, permissions, ...
-        return None, False
-    if not buf:
-        return None, True
-    line = buf.replace(b"\r\n", b"\n").replace(b"\r", b"\n").split(b"\n", 1)[0]
-    return line.decode("utf-8", errors="replace"), True
-
-
-def _first_lines(batches):
-    """``mapInPandas`` body: read the first line of each file, a few files at a time in parallel."""
-    from concurrent.futures import ThreadPoolExecutor
-
-    import pandas as pd
-
-    with ThreadPoolExecutor(max_workers=16) as pool:
-        for pdf in batches:
-            res = list(pool.map(_first_line, pdf["path"].tolist()))
-            yield pd.DataFrame(
-                {"path": pdf["path"], "header": [h for h, _ in res], "read_ok": [ok for _, ok in res]}
-            )
-
-
 def _headers_by_split(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Spark-only header read: first line of each file's first split (reads that split whole)."""
     lines = spark.read.text(paths).select(
@@ -167,7 +114,7 @@ def read_headers(spark: SparkSession, files: DataFrame, method: str = "auto") ->
             return files.select("*", F.lit(None).cast("string").alias("header"), empty_cols.alias("columns"))
         firsts = _headers_by_split(spark, paths)
     else:
-        probed = files.select("path").mapInPandas(_first_lines, HEADER_SCHEMA)
+        probed = files.select("path").mapInPandas(first_lines_task(), HEADER_SCHEMA)
         if method == "auto":
             # One row per file; a reliable checkpoint so the probe runs once for both uses.
             from salesmart.session import ensure_checkpoint_dir

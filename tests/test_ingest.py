@@ -148,7 +148,7 @@ def test_header_methods_agree(spark, landing):
 
 
 def test_first_line_reader(tmp_path):
-    from salesmart.sources.files import _first_line
+    from salesmart.sources.probe import _first_line
 
     p = tmp_path / "a b.csv"
     p.write_bytes(b"x,y\r\nz\r\n")
