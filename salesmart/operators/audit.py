@@ -58,3 +58,11 @@ def audit_landing(spark, files: DataFrame, suffix: str = ".csv") -> DataFrame:
 
     csv, others = split_by_suffix(files, suffix)
     return audit_headers(read_headers(spark, csv)).unionByName(reject_non_csv(others))
+
+
+def require_csv(files: DataFrame, suffix: str = ".csv") -> DataFrame:
+    """S2/F6 — abort when none of the landed files is a CSV file."""
+    from salesmart.sources.files import require_rows, split_by_suffix
+
+    require_rows(split_by_suffix(files, suffix)[0], "No csv data available to process the request")
+    return files

@@ -135,7 +135,7 @@ def run_pipeline(
         pending = LG.ledger_pending(files, ledger).count()
     if pending and strict:
         raise RerunRequired(f"{pending} file(s) from an unfinished run are waiting; re-run without strict")
-    todo = LG.unprocessed(files, ledger)
+    todo = AU.require_csv(LG.unprocessed(files, ledger))
 
     # 3. one header audit, staged (one row per file)
     with step("audit"):
