@@ -60,10 +60,31 @@ def test_scan_is_pruned(spark):
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_suppkey:bigint,l_extendedprice:double>" in plan
 
 
-def test_probe_many_in_one_job(spark):
+def test_probe_many(spark):
     from salesmart.operators.joins import broadcast_all_bounded, rows_at_most
 
     assert rows_at_most([spark.range(5), spark.range(50), spark.range(0)], 10) == [True, False, True]
     a, b = spark.range(5), spark.range(50)
     out = broadcast_all_bounded([a, b], 10)
     assert out[1] is b and out[0] is not a
+
+
+def test_probe_is_incremental(spark):
+    """The probe of a large many-split frame runs a handful of tasks, not one per split."""
+    from salesmart.operators.joins import row_count_at_most
+
+    big = spark.range(0, 2_000_000, 1, 200)
+    sc = spark.sparkContext
+    sc.setJobGroup("probe-test", "probe-test")
+    try:
+        assert not row_count_at_most(big, 100)
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    st = sc.statusTracker()
+    tasks = sum(
+        st.getStageInfo(s).numTasks
+        for j in st.getJobIdsForGroup("probe-test")
+        for s in st.getJobInfo(j).stageIds
+        if st.getStageInfo(s)
+    )
+    assert tasks < 20
