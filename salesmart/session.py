@@ -23,6 +23,8 @@ SCALE_CONF = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions": "true",
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
     "spark.sql.session.timeZone": "UTC",
+    # Checkpoint files (header probe, seller-month totals) are removed once unreferenced.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
