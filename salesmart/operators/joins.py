@@ -4,7 +4,8 @@ A dimension is hinted for broadcast only after a bounded probe shows it has at
 most ``max_rows`` rows.  The probe is ``df.select(lit).limit(max_rows + 1).collect()``:
 ``collect()`` on a limit runs Spark's *incremental* take (one split first, then
 a growing number), so the total work is about ``max_rows`` rows whatever the
-table size.  (``limit(n).count()`` would run ``LocalLimit(n)`` on every split —
+table size.  Frames with at most ``FEW_PARTITIONS`` partitions use one
+``limit(n+1).count()`` job instead (bounded by partitions × (n+1) rows).  (``limit(n).count()`` would run ``LocalLimit(n)`` on every split —
 close to a full scan of a large table; measured: 801 tasks vs 1 on 400 splits.)
 Beyond the bound the join is left to Catalyst (size-estimated broadcast or
 sort-merge) and to AQE (runtime conversion, skew splitting).
@@ -19,9 +20,17 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_MAX_ROWS = 500_000
 
 
+# Up to this many input partitions a single ``limit(n+1).count()`` job (at most
+# partitions × (n+1) rows) beats the incremental take's 1, 4, 16, ... rounds.
+FEW_PARTITIONS = 16
+
+
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has no more than ``max_rows`` rows (bounded, incremental probe)."""
-    return len(df.select(F.lit(True).alias("_")).limit(max_rows + 1).collect()) <= max_rows
+    """True when ``df`` has no more than ``max_rows`` rows; total work is bounded either way."""
+    probe = df.select(F.lit(True).alias("_"))
+    if probe.rdd.getNumPartitions() <= FEW_PARTITIONS:
+        return probe.limit(max_rows + 1).count() <= max_rows
+    return len(probe.limit(max_rows + 1).collect()) <= max_rows
 
 
 def rows_at_most(dfs: list[DataFrame], max_rows: int) -> list[bool]:
