@@ -61,16 +61,31 @@ def paths_of(files: DataFrame) -> list[str]:
 _FIELD = r'(?:^|,)("(?:[^"]|"")*"|[^,]*)'
 
 
-def parse_header(header: F.Column) -> F.Column:
-    """Header line -> ARRAY<STRING> of column names (quotes removed, ``""`` unescaped)."""
+def parse_header(header: F.Column, case_sensitive: bool = False) -> F.Column:
+    """Header line -> ARRAY<STRING> of column names, named as Spark's CSV reader names them.
+
+    Quotes are removed (``""`` unescaped); an empty name becomes ``_c<index>``;
+    a name that occurs more than once (case-insensitively unless
+    ``case_sensitive``) becomes ``<name><index>`` at every occurrence.
+    """
     fields = F.regexp_extract_all(header, F.lit(_FIELD), 1)
-    return F.transform(
+    names = F.transform(
         fields,
         lambda x: F.when(
             x.rlike(r'^".*"$'), F.replace(F.regexp_replace(x, r'^"(.*)"$', "$1"), F.lit('""'), F.lit('"'))
         ).otherwise(x),
     )
 
+    def norm(c: F.Column) -> F.Column:
+        return c if case_sensitive else F.lower(c)
+
+    return F.transform(
+        names,
+        lambda x, i: F.when(x == F.lit(""), F.concat(F.lit("_c"), i.cast("string")))
+        .when(F.size(F.filter(names, lambda y: norm(y) == norm(x))) > 1, F.concat(x, i.cast("string")))
+        .otherwise(x),
+    )
+
 
 HEADER_SCHEMA = T.StructType(
     [

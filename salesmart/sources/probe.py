@@ -42,6 +42,8 @@ def _first_line(path: str) -> tuple[str | None, bool]:
         return None, False
     if not buf:
         return None, True
+    if buf.startswith(b"\xef\xbb\xbf"):  # UTF-8 byte-order mark: Spark's readers drop it too
+        buf = buf[3:]
     line = buf.replace(b"\r\n", b"\n").replace(b"\r", b"\n").split(b"\n", 1)[0]
     return line.decode("utf-8", errors="replace"), True
 

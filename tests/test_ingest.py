@@ -156,3 +156,16 @@ def test_first_line_reader(tmp_path):
     (tmp_path / "e.csv").write_bytes(b"")
     assert _first_line("file:" + str(tmp_path / "e.csv")) == (None, True)
     assert _first_line("nosuchscheme://x/y")[1] is False
+    (tmp_path / "bom.csv").write_bytes(b"\xef\xbb\xbfcustomer_id,store_id\n1,2\n")
+    assert _first_line("file:" + str(tmp_path / "bom.csv")) == ("customer_id,store_id", True)
+
+
+def test_header_names_follow_spark(spark, tmp_path):
+    """Empty and duplicate header names are named as Spark's CSV reader names them."""
+    from salesmart.sources.files import read_headers, split_by_suffix
+
+    p = tmp_path / "odd.csv"
+    p.write_text("a,,Price,b,price\n1,2,3,4,5\n")
+    csv, _ = split_by_suffix(discover_files(spark, str(tmp_path)))
+    ours = read_headers(spark, csv).first().columns
+    assert ours == spark.read.option("header", True).csv(str(p)).columns == ["a", "_c1", "Price2", "b", "price4"]
