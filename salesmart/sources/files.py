@@ -1,9 +1,10 @@
 """S1–S3, F5 — landed-file discovery, suffix split and header read.
 
 File listing is the only driver-side step (Spark's file index lives on the
-driver anyway).  Headers are read in **one** job for all files: the first
-line of every file's first split, picked with ``min_by`` over a row id, so
-a file of any size contributes one row to the (tiny) shuffle.
+driver anyway).  Headers are read in **one** job for all files: a bounded
+first-line probe per file inside Spark tasks (``mapInPandas``, see
+``sources.probe``), with Spark's text source as the fallback; header names
+are then parsed JVM-side the way Spark's CSV reader names columns.
 """
 
 from __future__ import annotations
