@@ -20,6 +20,12 @@ def _mandatory() -> F.Column:
     return F.array(*[F.lit(c) for c in MANDATORY_COLUMNS])
 
 
+def _modified(df: DataFrame) -> F.Column:
+    """The file's modification time (epoch ms), null when unknown."""
+    c = F.col("file_modified_ms") if "file_modified_ms" in df.columns else F.lit(None)
+    return c.cast("bigint").alias("file_modified_ms")
+
+
 def audit_headers(headers: DataFrame) -> DataFrame:
     """Per-file verdict: ``missing``, ``extra``, ``accepted``, ``reason``."""
     cols = F.col("columns")
@@ -27,6 +33,7 @@ def audit_headers(headers: DataFrame) -> DataFrame:
     return headers.select(
         "path",
         "file_name",
+        _modified(headers),
         "header",
         "columns",
         missing.alias("missing"),
@@ -43,6 +50,7 @@ def reject_non_csv(others: DataFrame) -> DataFrame:
     return others.select(
         "path",
         "file_name",
+        _modified(others),
         F.lit(None).cast("string").alias("header"),
         F.array().cast("array<string>").alias("columns"),
         F.array().cast("array<string>").alias("missing"),

@@ -21,6 +21,11 @@ def _location(files: DataFrame) -> F.Column:
     return F.col("file_location") if "file_location" in files.columns else F.col("path")
 
 
+def _modified(files: DataFrame) -> F.Column:
+    c = F.col("file_modified_ms") if "file_modified_ms" in files.columns else F.lit(None)
+    return c.cast("bigint").alias("file_modified_ms")
+
+
 def ledger_start(files: DataFrame, ts) -> DataFrame:
     """L1 — one ``A`` event per file (``file_location`` is the file's real path)."""
     return files.select(
@@ -29,6 +34,7 @@ def ledger_start(files: DataFrame, ts) -> DataFrame:
         ts_literal(ts).alias("created_date"),
         F.lit(None).cast("timestamp_ntz").alias("updated_date"),
         F.lit(STATUS_STARTED).alias("status"),
+        _modified(files),
     )
 
 
@@ -40,19 +46,21 @@ def ledger_finish(batch: DataFrame, ts) -> DataFrame:
         F.lit(None).cast("timestamp_ntz").alias("created_date"),
         ts_literal(ts).alias("updated_date"),
         F.lit(STATUS_FINISHED).alias("status"),
+        _modified(batch),
     )
 
 
 def ledger_current(ledger: DataFrame) -> DataFrame:
-    """L4 — latest status per file; first start and last finish times.
+    """L4 — latest status per landed file version (name + modification time).
 
-    Events at the same instant order ``A`` before ``I``.
+    First start and last finish times; events at the same instant order ``A``
+    before ``I``.
     """
     order = F.struct(
         F.coalesce("updated_date", "created_date").alias("t"),
         (F.col("status") == F.lit(STATUS_FINISHED)).alias("fin"),
     )
-    return ledger.groupBy("file_name").agg(
+    return ledger.select(*LEDGER_SCHEMA.fieldNames()).groupBy("file_name", "file_modified_ms").agg(
         F.max_by("file_location", order).alias("file_location"),
         F.min("created_date").alias("created_date"),
         F.max("updated_date").alias("updated_date"),
@@ -60,16 +68,34 @@ def ledger_current(ledger: DataFrame) -> DataFrame:
     )
 
 
+def _same_file(files: DataFrame, states: DataFrame) -> list[F.Column]:
+    """Join condition: same name and same version (null-safe: no metadata on one side matches by name)."""
+    return [
+        files["file_name"] == states["_s_name"],
+        F.coalesce(files["_f_mod"], states["_s_mod"]).eqNullSafe(F.coalesce(states["_s_mod"], files["_f_mod"])),
+    ]
+
+
+def _states(ledger: DataFrame, status: str) -> DataFrame:
+    return (
+        ledger_current(ledger)
+        .where(F.col("status") == F.lit(status))
+        .select(F.col("file_name").alias("_s_name"), F.col("file_modified_ms").alias("_s_mod"))
+    )
+
+
 def ledger_pending(files: DataFrame, ledger: DataFrame) -> DataFrame:
     """L3 + F3 + A5 — distinct names of landed files whose current status is unfinished."""
-    unfinished = ledger_current(ledger).where(F.col("status") == F.lit(STATUS_STARTED))
-    return unfinished.join(files.select("file_name"), "file_name", "left_semi").select("file_name").distinct()
+    f = files.select("file_name", _modified(files)).withColumnRenamed("file_modified_ms", "_f_mod")
+    unfinished = _states(ledger, STATUS_STARTED)
+    return f.join(unfinished, _same_file(f, unfinished), "left_semi").select("file_name").distinct()
 
 
 def unprocessed(files: DataFrame, ledger: DataFrame) -> DataFrame:
-    """K8 — landed files not currently finished (the re-aimed "processed" archive)."""
-    done = ledger_current(ledger).where(F.col("status") == F.lit(STATUS_FINISHED)).select("file_name")
-    return files.join(done, "file_name", "left_anti")
+    """K8 — landed files (versions) not currently finished: the re-aimed "processed" archive."""
+    f = files.withColumn("_f_mod", _modified(files))
+    done = _states(ledger, STATUS_FINISHED)
+    return f.join(done, _same_file(f, done), "left_anti").drop("_f_mod")
 
 
 def append_ledger(events: DataFrame, path: str) -> str:

@@ -226,7 +226,8 @@ events AS (
   FROM files WHERE m BETWEEN '1996-07' AND '1998-12'
 ),
 cur AS (
-  SELECT file_name, MIN(created_date) AS created_date, MAX(updated_date) AS updated_date,
+  SELECT file_name, CAST(NULL AS BIGINT) AS file_modified_ms,
+         MIN(created_date) AS created_date, MAX(updated_date) AS updated_date,
          arg_max(status, COALESCE(updated_date, created_date)) AS status,
          arg_max(file_location, COALESCE(updated_date, created_date)) AS file_location
   FROM events GROUP BY file_name
@@ -242,11 +243,11 @@ ORACLE.update(
         "ledger_started": _lq(
             """
 SELECT file_name, path AS file_location, TIMESTAMP '2024-02-01 00:00:00' AS created_date,
-       CAST(NULL AS TIMESTAMP) AS updated_date, 'A' AS status
+       CAST(NULL AS TIMESTAMP) AS updated_date, 'A' AS status, CAST(NULL AS BIGINT) AS file_modified_ms
 FROM files WHERE m BETWEEN '1996-07' AND '1998-12'"""
         ),
         "ledger_current": _lq(
-            "SELECT file_name, file_location, created_date, updated_date, status FROM cur"
+            "SELECT file_name, file_modified_ms, file_location, created_date, updated_date, status FROM cur"
         ),
         "ledger_pending": _lq(
             "SELECT DISTINCT c.file_name FROM cur c JOIN files f ON c.file_name = f.file_name WHERE c.status = 'A'"

@@ -150,7 +150,8 @@ def run_pipeline(
     # 5. ledger start
     with step("ledger_start"):
         accepted = FS.require_rows(
-            audit.where(F.col("accepted")).select("path", "file_name"), "No Data available with correct files"
+            audit.where(F.col("accepted")).select("path", "file_name", "file_modified_ms"),
+            "No Data available with correct files",
         )
         n_accepted = accepted.count()
         LG.append_ledger(LG.ledger_start(accepted, clock()), ledger_path)

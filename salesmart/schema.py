@@ -104,6 +104,8 @@ LEDGER_SCHEMA = T.StructType(
         T.StructField("created_date", T.TimestampNTZType()),
         T.StructField("updated_date", T.TimestampNTZType()),
         T.StructField("status", T.StringType()),
+        # Identity of the landed file version (epoch ms); null for files without metadata.
+        T.StructField("file_modified_ms", T.LongType()),
     ]
 )
 

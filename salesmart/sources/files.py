@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesmart.functions.columns import file_base_name, normalise_path
-from salesmart.sources.probe import first_lines_task
+from salesmart.sources.probe import file_stats_task, first_lines_task
 
 FILES_SCHEMA = T.StructType([T.StructField("path", T.StringType(), False)])
 
@@ -30,11 +30,15 @@ def require_rows(df: DataFrame, message: str) -> DataFrame:
     return df
 
 
-def discover_files(spark: SparkSession, root: str) -> DataFrame:
+def discover_files(spark: SparkSession, root: str, stats: bool = True) -> DataFrame:
     """S1 — every file under ``root`` (recursive; zero-byte files included).
 
     Spark's listing skips hidden files (``_*``, ``.*``) such as ``_SUCCESS``.
-    Columns: ``path`` (decoded ``file:/…`` URI, readable again) and ``file_name``.
+    Columns: ``path`` (decoded ``file:/…`` URI, readable again), ``file_name``,
+    and with ``stats`` ``file_size`` / ``file_modified_ms`` (read from file
+    metadata inside Spark tasks; null where the filesystem cannot be asked).
+    The ledger identifies a landed file by name *and* modification time, so a
+    file re-landed under a used name is new work.
     """
     try:
         uris = spark.read.option("recursiveFileLookup", True).text(root).inputFiles()
@@ -44,7 +48,20 @@ def discover_files(spark: SparkSession, root: str) -> DataFrame:
         raise NoDataError(f"No Data available to process: {root}")
     df = spark.createDataFrame([(u,) for u in uris], FILES_SCHEMA)
     df = df.select(normalise_path("path").alias("path"))
-    return df.select("path", file_base_name("path").alias("file_name"))
+    df = df.select("path", file_base_name("path").alias("file_name"))
+    if stats:
+        df = df.mapInPandas(file_stats_task(), STATS_SCHEMA)
+    return df
+
+
+STATS_SCHEMA = T.StructType(
+    [
+        T.StructField("path", T.StringType()),
+        T.StructField("file_name", T.StringType()),
+        T.StructField("file_size", T.LongType()),
+        T.StructField("file_modified_ms", T.LongType()),
+    ]
+)
 
 
 def split_by_suffix(files: DataFrame, suffix: str = ".csv") -> tuple[DataFrame, DataFrame]:

@@ -64,6 +64,55 @@ def first_lines(batches):
 
 
 
+def _stat(path: str) -> tuple[int | None, int | None]:
+    """(size in bytes, modification time in epoch ms) of a file; (None, None) if unknown."""
+    from urllib.parse import unquote, urlparse
+
+    import pyarrow.fs as pafs
+
+    try:
+        if path.startswith("file:"):
+            local = unquote(urlparse(path).path) if "%" in path else path[len("file:"):]
+            while local.startswith("//"):
+                local = local[1:]
+            fs, rel = pafs.LocalFileSystem(), local
+        else:
+            uri = "s3://" + path[len("s3a://"):] if path.startswith("s3a://") else path
+            fs, rel = pafs.FileSystem.from_uri(uri)
+        info = fs.get_file_info(rel)
+    except Exception:  # unsupported scheme, permissions, ...
+        return None, None
+    if info.type != pafs.FileType.File:
+        return None, None
+    mtime = info.mtime_ns // 1_000_000 if info.mtime_ns is not None else None
+    return info.size, mtime
+
+
+def file_stats(batches):
+    """``mapInPandas`` body: size and modification time of each file (metadata only)."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    import pandas as pd
+
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        for pdf in batches:
+            res = list(pool.map(_stat, pdf["path"].tolist()))
+            yield pdf.assign(
+                file_size=pd.array([r[0] for r in res], dtype="Int64"),
+                file_modified_ms=pd.array([r[1] for r in res], dtype="Int64"),
+            )
+
+
+def file_stats_task():
+    """``file_stats``, registered so its code travels with the task."""
+    import sys
+
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    return file_stats
+
+
 def first_lines_task():
     """``first_lines``, registered so its code travels with the task."""
     import sys

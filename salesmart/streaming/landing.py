@@ -95,9 +95,11 @@ def make_batch_handler(
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         files = (
-            batch.select(normalise_path("path").alias("path"))
+            batch.select(
+                normalise_path("path").alias("path"), F.unix_millis("modificationTime").alias("file_modified_ms")
+            )
             .distinct()
-            .select("path", file_base_name("path").alias("file_name"))
+            .select("path", file_base_name("path").alias("file_name"), "file_modified_ms")
         )
         audit_dir = f"{paths.audit}/batch_id={batch_id}"
         AU.audit_landing(spark, files).write.mode("overwrite").parquet(audit_dir)
@@ -105,7 +107,7 @@ def make_batch_handler(
         QU.quarantined_lines(spark, audit).write.mode("overwrite").parquet(
             f"{paths.quarantine}/batch_id={batch_id}"
         )
-        accepted = audit.where(F.col("accepted")).select("path", "file_name")
+        accepted = audit.where(F.col("accepted")).select("path", "file_name", "file_modified_ms")
         if accepted.isEmpty():
             return
         LG.append_ledger(LG.ledger_start(accepted, ts_literal(F.current_timestamp())), paths.ledger)
@@ -170,7 +172,7 @@ def process_landing_stream(
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    files = reader.load(landing).select("path")
+    files = reader.load(landing).select("path", "modificationTime")
     writer = (
         files.writeStream.foreachBatch(make_batch_handler(paths, customer, store, sales_team, **mart_options))
         .option("checkpointLocation", checkpoint)

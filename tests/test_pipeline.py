@@ -81,3 +81,22 @@ def test_selected_outputs_only(spark):
     assert spark.read.parquet(res.paths["sales_team_month_mart"]).count() > 0
     assert not os.path.exists(res.paths["sales_partitioned_data_mart"].replace("file:", ""))
     assert "snapshot" not in res.timings
+
+
+def test_relanded_name_is_new_work(spark):
+    """A finished file re-landed under the same name (new content, new mtime) is processed again."""
+    customer, store, _, team = dimensions(spark)
+    landing = _landing()
+    out = tempfile.mkdtemp(prefix="salesmart-reland-")
+    ledger = out + "/ledger"
+    first = run_pipeline(spark, landing, out + "/a", customer, store, team, ledger_path=ledger)
+    assert first.accepted_files == 2
+    p = os.path.join(landing, "day1.csv")
+    with open(p, "w") as f:
+        f.write(f"{BASE}\n5,121,sugar,2023-05-01,1,50,1,50\n")
+    st = os.stat(p)
+    os.utime(p, (st.st_atime + 60, st.st_mtime + 60))
+    second = run_pipeline(spark, landing, out + "/b", customer, store, team, ledger_path=ledger)
+    assert second.accepted_files == 1
+    rows = spark.read.parquet(second.paths["enriched"]).collect()
+    assert [(r.customer_id, str(r.sales_date)) for r in rows] == [(5, "2023-05-01")]
