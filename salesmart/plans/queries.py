@@ -318,7 +318,7 @@ from salesmart.streaming.landing import process_landing_stream  # noqa: E402
 
 
 def streaming_sales_team_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Same mart as ``pipeline_sales_team_mart``, built incrementally two files per micro-batch."""
+    """Same mart as ``pipeline_sales_team_mart``, built incrementally four files per micro-batch."""
     root = _landing(spark, sf_dir)
     wd = work_dir(spark, "stream")
     paths = process_landing_stream(
@@ -329,7 +329,7 @@ def streaming_sales_team_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
         TD.customers(spark, sf_dir),
         TD.stores(spark, sf_dir),
         TD.sales_team(spark, sf_dir),
-        max_files_per_trigger=2,
+        max_files_per_trigger=4,
     )
     return spark.read.parquet(paths.sales_team_month_mart)
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 import time
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -23,6 +24,41 @@ def write_mart(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     return path
 
 
+_FLOOR_KEY = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+_FLOOR_BYTES = 64 * 1024
+
+
+def _bytes(text: str) -> int:
+    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
+    m = re.fullmatch(r"\s*(\d+)\s*([a-zA-Z]*)\s*", text)
+    return int(m.group(1)) * units.get(m.group(2).lower(), 1) if m else _FLOOR_BYTES
+
+
+@contextmanager
+def parallel_small_writes(spark: SparkSession):
+    """Within the block, AQE keeps rebalanced partitions of at least 64 KB apart.
+
+    AQE's default floor (1 MB) merges a small input into one task, which then
+    writes every partition folder alone (thousands of files for
+    ``sales_month × store_id``).  Only lowers the floor, restores it after; data
+    large enough to matter at scale is unaffected (and hot partitions are
+    still split).
+    """
+    current = spark.conf.get(_FLOOR_KEY, None)
+    effective = _bytes(current or spark.conf.get(_FLOOR_KEY))
+    if effective <= _FLOOR_BYTES:
+        yield
+        return
+    spark.conf.set(_FLOOR_KEY, str(_FLOOR_BYTES))
+    try:
+        yield
+    finally:
+        if current is None:
+            spark.conf.unset(_FLOOR_KEY)
+        else:
+            spark.conf.set(_FLOOR_KEY, current)
+
+
 def write_partitioned(
     df: DataFrame,
     path: str,
@@ -38,13 +74,14 @@ def write_partitioned(
     if overwrite not in ("static", "dynamic"):
         raise ValueError("overwrite must be 'static' or 'dynamic'")
     cols = list(partition_cols)
-    (
-        df.hint("rebalance", *cols)
-        .write.mode(mode)
-        .option("partitionOverwriteMode", overwrite)
-        .partitionBy(*cols)
-        .parquet(path)
-    )
+    with parallel_small_writes(df.sparkSession):
+        (
+            df.hint("rebalance", *cols)
+            .write.mode(mode)
+            .option("partitionOverwriteMode", overwrite)
+            .partitionBy(*cols)
+            .parquet(path)
+        )
     return path
 
 

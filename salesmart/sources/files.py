@@ -50,7 +50,11 @@ def discover_files(spark: SparkSession, root: str, stats: bool = True) -> DataFr
     df = df.select(normalise_path("path").alias("path"))
     df = df.select("path", file_base_name("path").alias("file_name"))
     if stats:
-        df = df.mapInPandas(file_stats_task(), STATS_SCHEMA)
+        from salesmart.session import ensure_checkpoint_dir
+
+        # One stat per file, pinned: every later step sees the same listing snapshot.
+        ensure_checkpoint_dir(spark)
+        df = df.mapInPandas(file_stats_task(), STATS_SCHEMA).checkpoint(eager=True)
     return df
 
 

@@ -157,8 +157,6 @@ def land_sales(spark: SparkSession, sf_dir: str, root: str) -> str:
         sales_fact_with_line(spark, sf_dir)
         .withColumn("_layout", landing_layout(F.col("_line")))
         .withColumn("payment_mode", payment_mode(F.col("quantity")))
-        # Evenly sized landed files: AQE sizes the partitions (and splits any hot one).
-        .hint("rebalance")
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
     try:

@@ -99,3 +99,18 @@ def test_pointer_never_moves_back(spark, out):
     PQ.publish_snapshot(df, out + "/snap3", version=2000)
     PQ.publish_snapshot(df.where("v < 20"), out + "/snap3", version=1000)  # late, older publication
     assert PQ.latest_snapshot(spark, out + "/snap3").count() == 3
+
+
+def test_parallel_small_writes_restores_conf(spark):
+    key = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "2MB")
+    try:
+        with PQ.parallel_small_writes(spark):
+            assert spark.conf.get(key) in ("65536", "65536b")
+        assert spark.conf.get(key) == "2MB"
+        spark.conf.set(key, "16KB")  # already lower: left alone
+        with PQ.parallel_small_writes(spark):
+            assert spark.conf.get(key) == "16KB"
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
