@@ -17,6 +17,8 @@ from salesmart.functions.columns import file_base_name, normalise_path
 from salesmart.sources.probe import file_stats_task, first_lines_task
 
 FILES_SCHEMA = T.StructType([T.StructField("path", T.StringType(), False)])
+FILES_PER_TASK = 2_000
+MAX_LISTING_PARTITIONS = 10_000
 
 
 class NoDataError(RuntimeError):
@@ -47,6 +49,11 @@ def discover_files(spark: SparkSession, root: str, stats: bool = True) -> DataFr
     if not uris:
         raise NoDataError(f"No Data available to process: {root}")
     df = spark.createDataFrame([(u,) for u in uris], FILES_SCHEMA)
+    # About FILES_PER_TASK files per task, so the in-task stat and header probes
+    # (and everything keyed on the listing) scale out with the file count.
+    n_parts = max(1, min(MAX_LISTING_PARTITIONS, -(-len(uris) // FILES_PER_TASK)))
+    if n_parts > 1:
+        df = df.repartition(n_parts)
     df = df.select(normalise_path("path").alias("path"))
     df = df.select("path", file_base_name("path").alias("file_name"))
     if stats:

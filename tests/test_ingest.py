@@ -169,3 +169,14 @@ def test_header_names_follow_spark(spark, tmp_path):
     csv, _ = split_by_suffix(discover_files(spark, str(tmp_path)))
     ours = read_headers(spark, csv).first().columns
     assert ours == spark.read.option("header", True).csv(str(p)).columns == ["a", "_c1", "Price2", "b", "price4"]
+
+
+def test_listing_spreads_over_tasks(spark, tmp_path, monkeypatch):
+    import salesmart.sources.files as FSm
+
+    for i in range(12):
+        (tmp_path / f"f{i}.csv").write_text("a\n1\n")
+    monkeypatch.setattr(FSm, "FILES_PER_TASK", 4)
+    files = FSm.discover_files(spark, str(tmp_path))
+    assert files.rdd.getNumPartitions() == 3 and files.count() == 12
+    assert files.where("file_size = 4 and file_modified_ms > 0").count() == 12
