@@ -36,6 +36,7 @@ from salesmart.operators import ingest as IN
 from salesmart.operators import ledger as LG
 from salesmart.operators import marts as MA
 from salesmart.sinks import quarantine as QU
+from salesmart.sinks.parquet import parallel_small_writes
 
 
 @dataclass
@@ -71,14 +72,15 @@ class StreamPaths:
         return f"{self.out}/sales_team_month_mart"
 
 
-def _write_months(df: DataFrame, path: str) -> None:
-    (
-        df.hint("rebalance", "sales_month")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("sales_month")
-        .parquet(path)
-    )
+def _write_months(df: DataFrame, path: str, dynamic: bool = True) -> None:
+    with parallel_small_writes(df.sparkSession):
+        (
+            df.hint("rebalance", "sales_month")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
+            .partitionBy("sales_month")
+            .parquet(path)
+        )
 
 
 def make_batch_handler(
@@ -114,13 +116,7 @@ def make_batch_handler(
 
         enriched = EN.enrich(IN.ingest_sales(spark, audit), customer, store, sales_team, how=how)
         batch_dir = f"{paths.enriched}/batch_id={batch_id}"
-        (
-            enriched.withColumn("sales_month", month_key("sales_date"))
-            .hint("rebalance", "sales_month")
-            .write.mode("overwrite")
-            .partitionBy("sales_month")
-            .parquet(batch_dir)
-        )
+        _write_months(enriched.withColumn("sales_month", month_key("sales_date")), batch_dir, dynamic=False)
         touched = [r.sales_month for r in spark.read.parquet(batch_dir).select("sales_month").distinct().collect()]
         scoped = (
             spark.read.parquet(paths.enriched)
