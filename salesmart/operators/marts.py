@@ -75,6 +75,33 @@ def customer_day_mart(detail: DataFrame) -> DataFrame:
     return detail.groupBy("customer_id", "sales_date").agg(money(F.sum("total_cost")).alias("total_sales"))
 
 
+def customer_day_totals(detail: DataFrame) -> DataFrame:
+    """Shared pre-aggregate of A1 and A3: per customer (with contact columns) and day, un-rounded.
+
+    Both customer marts roll up from it exactly (sums of decimal sums), so the
+    fact-sized detail is scanned and shuffled once for the two of them.
+    """
+    return detail.groupBy(
+        "customer_id",
+        full_name("first_name", "last_name").alias("full_name"),
+        "address",
+        "phone_number",
+        "sales_date",
+    ).agg(F.sum("total_cost").alias("_total"))
+
+
+def customer_month_from_days(days: DataFrame) -> DataFrame:
+    """A1 from ``customer_day_totals``."""
+    return days.groupBy(
+        "customer_id", "full_name", "address", "phone_number", month_start("sales_date").alias("sales_date_month")
+    ).agg(money(F.sum("_total")).alias("total_sales"))
+
+
+def customer_day_from_days(days: DataFrame) -> DataFrame:
+    """A3 from ``customer_day_totals``."""
+    return days.groupBy("customer_id", "sales_date").agg(money(F.sum("_total")).alias("total_sales"))
+
+
 def sales_person_month_totals(detail: DataFrame) -> DataFrame:
     """A2 — total billed per seller and month (un-rounded sum kept in ``_total``)."""
     return detail.groupBy(

@@ -109,6 +109,7 @@ def run_pipeline(
     paths = {
         "audit": f"{out}/_staging/audit",
         "enriched": f"{out}/_staging/enriched",
+        "customer_day_totals": f"{out}/_staging/customer_day_totals",
         "quarantine": f"{out}/sales_data_error",
         "customer_data_mart": f"{out}/customer_data_mart",
         "sales_team_data_mart": f"{out}/sales_team_data_mart",
@@ -182,10 +183,15 @@ def run_pipeline(
             version = PQ.publish_snapshot(sdet, paths["snapshots"])
 
     with step("aggregate_marts"):
-        if "customers_data_mart" in want or table_options:
-            PQ.write_mart(MA.customer_month_mart(cdet), paths["customers_data_mart"])
-        if "customer_day_mart" in want:
-            PQ.write_mart(MA.customer_day_mart(cdet), paths["customer_day_mart"])
+        want_month = "customers_data_mart" in want or bool(table_options)
+        if want_month or "customer_day_mart" in want:
+            # One pass over the detail for both customer marts.
+            MA.customer_day_totals(cdet).write.mode("overwrite").parquet(paths["customer_day_totals"])
+            days = spark.read.parquet(paths["customer_day_totals"])
+            if want_month:
+                PQ.write_mart(MA.customer_month_from_days(days), paths["customers_data_mart"])
+            if "customer_day_mart" in want:
+                PQ.write_mart(MA.customer_day_from_days(days), paths["customer_day_mart"])
         need_mart = {"sales_team_month_mart", "monthly_report"} & want or table_options
         if need_mart:
             PQ.write_mart(

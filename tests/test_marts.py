@@ -131,3 +131,16 @@ def test_month_key_and_report(spark, dims):
         "sales_person_total_billing_done_for_each_month",
         "total_incentive",
     ]
+
+
+def test_customer_marts_from_shared_days_equal_direct(spark, dims):
+    customer, store, _, team = dims
+    rows = TIE_ROWS + [(1, 121, "sugar", "2023-03-20", 1, "50", 1, "50"), (4, 122, "besan", "2023-04-06", 4, "52", 1, "52")]
+    det = M.customer_mart_detail(E.enrich(_fact(spark, rows), customer, store, team))
+    days = M.customer_day_totals(det)
+    for direct, rolled in [
+        (M.customer_month_mart(det), M.customer_month_from_days(days)),
+        (M.customer_day_mart(det), M.customer_day_from_days(days)),
+    ]:
+        assert rolled.columns == direct.columns
+        assert sorted(map(tuple, rolled.collect())) == sorted(map(tuple, direct.collect()))
