@@ -8,8 +8,12 @@ from pyspark.sql import functions as F
 from salesmart.llm.common import staged
 
 
-def _checksum(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum((F.xxhash64("u", "v") % 1_000_003).cast("long"))).first())
+def _all_stars(edges: DataFrame) -> bool:
+    """Whether every node hangs on one node only, which hangs on none."""
+    hung = edges.groupBy(F.col("u").alias("w")).agg(F.count("*").alias("n"))
+    twice = hung.where("n > 1").select("w")
+    chained = edges.join(hung, F.col("v") == F.col("w"), "left_semi").select(F.col("v").alias("w"))
+    return twice.union(chained).isEmpty()
 
 
 def components(links: DataFrame, a: str, b: str) -> DataFrame:
@@ -22,8 +26,7 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     """
     edges = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct()
     edges = staged(edges, "links")
-    seen = _checksum(edges)
-    while seen[0]:
+    while not _all_stars(edges):
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         smallest = both.groupBy(F.col("u").alias("_u")).agg(F.least(F.min("v"), F.col("_u")).alias("m"))
         large = both.join(smallest, F.col("u") == F.col("_u")).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -33,10 +36,6 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
         edges = staged(
             small.where("u <> v").union(lowest.select(F.col("_u").alias("u"), F.col("m").alias("v"))).distinct(), "links"
         )
-        now = _checksum(edges)
-        if now == seen:
-            break
-        seen = now
     stars = edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("comp"))
     centres = edges.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct()
     return stars.union(centres)

@@ -149,9 +149,10 @@ def mix(
     narrow = staged(
         docs.select(
             F.col(key).alias("id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"),
-            # of 52 bits, so that the place in [0, 1) is exact
-            (F.shiftrightunsigned(F.xxhash64(F.coalesce(F.col(key).cast("string"), F.col(text)), F.lit(seed)), 12)
-             / float(1 << 52)).alias("place"),
+            # 52 bits of a digest, so that the place in [0, 1) is exact and any engine can compute it
+            (F.conv(F.substring(F.md5(F.concat(
+                F.coalesce(F.col(key).cast("string"), F.col(text), F.lit("")), F.lit(f":{seed}"))), 1, 13), 16, 10)
+             .cast("long") / float(1 << 52)).alias("place"),
         ),
         "mix-sizes",
     )

@@ -13,12 +13,15 @@ fall together are candidates, and candidates are verified on their sets.
   fixed order until enough of them are filled (``differ // 2 + 1``); of any two
   similar sets at least one such partition then serves both.
 * Shingles that very many documents hold are left out of the domain, as
-  differences can only get fewer; sets that are made of them for the most part
-  also have signatures over the whole domain. The list of such shingles changes
-  the work, never the result.
-* Candidates of a signature meet its smallest node; only nodes that this leaves
-  in different groups are compared further, so that a group of thousands of near
-  copies costs about as many comparisons as it has members.
+  differences can only get fewer. Sets that fill too few partitions then, being
+  small or mostly made of such shingles, have their rarest shingles as signatures
+  besides, as many as make sure that two similar sets share one. The list of
+  frequent shingles changes the work, never the result.
+* Candidates of a signature meet its smallest node, so that a group of thousands
+  of near copies costs about as many comparisons as it has members. Only where
+  this leaves a signature's nodes in different groups are they compared further:
+  few of them pair by pair, many in blocks of bounded size, each pair of blocks as
+  one matrix product in a task that returns the links alone.
 
 Results for odd input: a null text, and one without words, is an empty set, linked
 with nothing; one with fewer words than a shingle has its whole sequence as one;
@@ -34,7 +37,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesmart.llm.common import staged
@@ -51,7 +54,9 @@ BAND = 1.5
 #: Share of documents from which a shingle is left out of the domain, and how many such shingles are broadcast at most.
 FREQUENT, FREQUENT_MOST = 0.001, 1_000_000
 #: Nodes of one signature that are compared pair by pair, once its smallest node has met all.
-FEW = 32
+FEW = 64
+#: Shingles of a block of nodes (and one set more at most), and shingles that a matrix product takes at once.
+BLOCK_SHINGLES, PRODUCT_COLUMNS = 100_000, 8_192
 _K1, _K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -77,6 +82,13 @@ def bands(size: int, num: int, den: int) -> list[tuple[int, int]]:
     return out
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    x = np.sort(x)
+    keep = np.ones(len(x), bool)
+    keep[1:] = x[1:] != x[:-1]
+    return x[keep]
+
+
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, row: int, end: int, n_words: int) -> Iterator[np.ndarray]:
     """The sorted distinct 64-bit shingles of each of the rows row to end."""
     h, owner = words(data, offsets, row, end)
@@ -90,7 +102,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, row: int, end: int, n_wo
     spots = np.searchsorted(owner, np.arange(row, end + 1))
     for i in range(end - row):
         if cuts[i] < cuts[i + 1]:
-            yield np.unique(mixed[cuts[i] : cuts[i + 1]])
+            yield distinct(mixed[cuts[i] : cuts[i + 1]])
         elif spots[i] < spots[i + 1]:
             short = np.uint64(0)
             for x in h[spots[i] : spots[i + 1]]:
@@ -102,60 +114,93 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, row: int, end: int, n_wo
 
 def set_id(e: np.ndarray) -> int:
     """A 64-bit number of the whole set, signed."""
-    total = np.add.reduce(mix64(e ^ _K2), dtype=np.uint64) if len(e) else np.uint64(0)
-    return int(mix64(np.array([total + np.uint64(len(e))], np.uint64)).view(np.int64)[0])
-
-
-def _band_signatures(e: np.ndarray, need: int, partitions: int, tag: int, drop_empty: bool) -> tuple[np.ndarray, bool]:
-    """Signatures of a set in one band, and whether enough partitions were filled."""
-    u = mix64(e ^ mix64(np.array([tag], np.uint64)))
-    first = ((u >> np.uint64(32)) * np.uint64(partitions)) >> np.uint64(32)
-    second = ((u & np.uint64(0xFFFFFFFF)) * np.uint64(PARTS)) >> np.uint64(32)
-    cell = (first * np.uint64(PARTS) + second).astype(np.int64)
+    total = (int(np.add.reduce(mix64(e ^ _K2))) if len(e) else 0) + len(e)
+    total = total * int(_K1) & 0xFFFFFFFFFFFFFFFF
+    total ^= total >> 32
+    return total - (1 << 64) if total >> 63 else total
+
+
+# What a task works out once: of each domain, and of each size of a set. Bands bound the first, ``_PLANS_MOST`` the second.
+_LAYOUTS: dict[int, tuple[int, np.ndarray]] = {}
+_PLANS: dict[tuple[int, int, int], tuple[int, list[tuple[int, int]]]] = {}
+_PLANS_MOST = 100_000
+
+
+def _layout(tag: int, partitions: int) -> tuple[int, np.ndarray]:
+    """The domain's hash of a tag, and a number for each partition and subset of its parts."""
+    if tag not in _LAYOUTS or len(_LAYOUTS[tag][1]) != partitions:
+        seed = mix64(np.array([tag, tag + 1], np.uint64))
+        place = np.arange(partitions * PARTS, dtype=np.uint64)
+        _LAYOUTS[tag] = int(seed[0]), mix64(place ^ seed[1]).reshape(partitions, PARTS)
+    return _LAYOUTS[tag]
+
+
+def _band_signatures(e: np.ndarray, values: np.ndarray, need: int, partitions: int, tag: int) -> tuple[np.ndarray, bool]:
+    """Signatures of a set in one band, and whether enough partitions were filled; ``values`` are hashes of the shingles."""
+    seed, names = _layout(tag, partitions)
+    u = (e ^ np.uint64(seed)) * _K2
+    u ^= u >> np.uint64(32)
+    u *= _K1
+    # the high half picks the cell; cells of a partition are neighbours
+    cell = (((u >> np.uint64(32)) * np.uint64(partitions * PARTS)) >> np.uint64(32)).astype(np.int64)
     sums = np.zeros(partitions * PARTS, np.uint64)
-    np.add.at(sums, cell, mix64(e ^ _K1))
+    np.add.at(sums, cell, values)
     sums = sums.reshape(partitions, PARTS)
     filled = np.bincount(cell, minlength=partitions * PARTS).reshape(partitions, PARTS) > 0
-    if drop_empty:
-        reached = np.cumsum(filled.sum(axis=1) >= 2)
-        enough = bool(reached[-1] >= need)
-        upto = int(np.searchsorted(reached, need)) + 1 if enough else partitions
-    else:
-        enough, upto = True, need
+    reached = np.cumsum(np.count_nonzero(filled, axis=1) >= 2)
+    enough = bool(reached[-1] >= need)
+    upto = int(np.searchsorted(reached, need)) + 1 if enough else partitions
     out = []
-    place = np.arange(upto, dtype=np.uint64)
     for k, kept in enumerate(combinations(range(PARTS), PARTS - 1)):
-        value = np.zeros(upto, np.uint64)
-        some = np.zeros(upto, bool)
-        for c in kept:
+        value = sums[:upto, kept[0]]
+        some = filled[:upto, kept[0]]
+        for c in kept[1:]:
             value = value * _K1 + sums[:upto, c]
-            some |= filled[:upto, c]
-        name = mix64((place * np.uint64(PARTS) + np.uint64(k)) ^ mix64(np.array([tag + 1], np.uint64)))
-        sig = mix64(value ^ name)
-        out.append(sig[some] if drop_empty else sig)
+            some = some | filled[:upto, c]
+        out.append(((value ^ names[:upto, k]) * _K1)[some])
     return np.concatenate(out), enough
 
 
-def signatures(e: np.ndarray, num: int, den: int, frequent: np.ndarray) -> np.ndarray:
-    """All signatures of a set; none if no other set can be similar to it."""
+def _plan(size: int, num: int, den: int) -> tuple[int, list[tuple[int, int]]]:
+    """(partitions needed, (band, partitions) of each band) of a set of ``size``."""
+    key = (size, num, den)
+    if key not in _PLANS:
+        if len(_PLANS) >= _PLANS_MOST:
+            _PLANS.clear()
+        _PLANS[key] = differ(size, num, den) // 2 + 1, [
+            (number, int(np.ceil(SLACK * (differ(largest, num, den) // 2 + 1))) + 1)
+            for number, largest in bands(size, num, den)
+        ]
+    return _PLANS[key]
+
+
+def signatures(e: np.ndarray, num: int, den: int, frequent: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """All signatures of a set; none if no other set can be similar to it.
+
+    ``frequent`` are the shingles of most documents, in order, and ``counts`` of how many.
+    """
     size = len(e)
-    d = differ(size, num, den)
-    if not d:
+    if not differ(size, num, den):
         return np.zeros(0, np.uint64)
-    at = np.searchsorted(frequent, e)
-    at[at == len(frequent)] = 0
-    rare = e[frequent[at] != e] if len(frequent) else e
-    out = []
-    for number, largest in bands(size, num, den):
-        need = d // 2 + 1
-        partitions = int(np.ceil(SLACK * (differ(largest, num, den) // 2 + 1))) + 1
-        # each tag is a domain of its own: without frequent shingles, whole, and whole with empty projections
-        for variant, (domain, drop_empty) in enumerate(((rare, True), (e, True), (e, False))):
-            sig, enough = _band_signatures(domain, need, partitions, number * 8 + variant * 2 + 2, drop_empty)
-            out.append(sig)
-            if enough:
-                break
-    return np.unique(np.concatenate(out))
+    rare, often = e, np.zeros(0, np.int64)
+    if len(frequent):
+        at = np.searchsorted(frequent, e)
+        at[at == len(frequent)] = 0
+        found = frequent[at] == e
+        rare, often = e[~found], at[found]
+    values = mix64(rare ^ _K1)
+    out, enough = [], True
+    need, plan = _plan(size, num, den)
+    for number, partitions in plan:
+        sig, filled = _band_signatures(rare, values, need, partitions, number * 2 + 2)
+        out.append(sig)
+        enough &= filled
+    if not enough:
+        # rare shingles in order of their numbers, then frequent ones from the least frequent on
+        prefix = size - -(-num * size // den) + 1
+        order = np.lexsort((often, counts[often]))
+        out.append(mix64(np.concatenate([rare, frequent[often[order]]])[:prefix] ^ _K2))
+    return np.concatenate(out)
 
 
 def _signed(x: np.ndarray) -> pa.Array:
@@ -212,7 +257,7 @@ def document_sets(docs: DataFrame, key: str, text: str, n_words: int) -> tuple[D
     return rows, counts
 
 
-def _candidates(docs: DataFrame, text: str, n_words: int, num: int, den: int, frequent: np.ndarray) -> DataFrame:
+def _candidates(docs: DataFrame, text: str, n_words: int, num: int, den: int, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
     """sig, hub, fp: of each signature with several nodes its smallest one, with each of the others."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
@@ -227,7 +272,7 @@ def _candidates(docs: DataFrame, text: str, n_words: int, num: int, den: int, fr
                     if fp in done:
                         continue
                     done.add(fp)
-                    s = signatures(e, num, den, shared.value)
+                    s = signatures(e, num, den, *shared.value)
                     sigs.append(s)
                     fps.append(fp)
                     sizes.append(len(s))
@@ -315,6 +360,47 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
     return staged(possible.mapInArrow(check, "hub long, fp long").distinct(), "links")
 
 
+def _block_links(nodes: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """All similar pairs (hub, fp) among the nodes of each signature."""
+    along = Window.partitionBy("sig").orderBy("fp").rowsBetween(Window.unboundedPreceding, 0)
+    sized = nodes.join(sets.select("fp", "n"), "fp").withColumn(
+        "block", F.floor((F.sum("n").over(along) - F.col("n")) / BLOCK_SHINGLES).cast("int")
+    )
+    last = sized.groupBy(F.col("sig").alias("_s")).agg(F.max("block").alias("last"))
+    dealt = sized.drop("n").join(last, F.col("sig") == F.col("_s")).select(
+        "sig", "fp", "block", F.explode(F.sequence(F.lit(0), "last")).alias("other")
+    )
+    keyed = dealt.select(
+        "sig", "fp", "block", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b")
+    ).join(sets, "fp")
+
+    def compare(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        fp, block, n = (group.column(c).to_numpy() for c in ("fp", "block", "n"))
+        shingles = group.column("shingles").combine_chunks()
+        values = shingles.values.to_numpy()[shingles.offsets[0].as_py() : shingles.offsets[-1].as_py()]
+        owner = np.repeat(np.arange(len(fp)), n)
+        _, column, seen = np.unique(values, return_inverse=True, return_counts=True)
+        shared = seen[column] > 1  # others are in no intersection
+        _, column = np.unique(column[shared], return_inverse=True)
+        owner = owner[shared]
+        both = np.zeros((len(fp), len(fp)), np.float32)
+        for lo in range(0, int(column.max()) + 1 if len(column) else 0, PRODUCT_COLUMNS):
+            at = (column >= lo) & (column < lo + PRODUCT_COLUMNS)
+            held = np.zeros((len(fp), PRODUCT_COLUMNS), np.float32)
+            held[owner[at], column[at] - lo] = 1
+            both += held @ held.T
+        both = np.rint(both).astype(np.int64)
+        similar = both * den >= (n[:, None] + n[None, :] - both) * num
+        # of two blocks only pairs across them: each block is compared with itself elsewhere
+        cross = block[:, None] != block[None, :] if block.min() != block.max() else np.ones_like(similar)
+        i, j = np.nonzero(similar & cross & (fp[:, None] < fp[None, :]))
+        return pa.table({"hub": fp[i], "fp": fp[j]})
+
+    found = keyed.groupBy("sig", "a", "b").applyInArrow(compare, "hub long, fp long")
+    return found.distinct()
+
+
 def similar_groups(
     docs: DataFrame, *, key: str = "doc_id", text: str = "text", n_words: int = WORDS, num: int = NUM, den: int = DEN
 ) -> tuple[DataFrame, DataFrame]:
@@ -330,7 +416,10 @@ def similar_groups(
     rows, counts = document_sets(docs, key, text, n_words)
     total = rows.count()
     often = counts.where(F.col("docs") >= max(2, FREQUENT * total)).orderBy(F.desc("docs")).limit(FREQUENT_MOST)
-    frequent = np.sort(often.select("shingle").toPandas()["shingle"].to_numpy(np.int64).view(np.uint64))
+    listed = often.toPandas()
+    shingles, held = listed["shingle"].to_numpy(np.int64).view(np.uint64), listed["docs"].to_numpy(np.int64)
+    order = np.argsort(shingles)
+    frequent = shingles[order], held[order]
 
     live = _candidates(docs, text, n_words, num, den, frequent)
     pairs = staged(live.select("hub", "fp").distinct(), "pairs")
@@ -340,33 +429,26 @@ def similar_groups(
         nodes = pairs.select("fp").union(pairs.select("hub")).distinct()
         sets = _node_sets(docs, key, text, n_words, rows, nodes)
         links = _verified(pairs, sets, num, den)
-        tested = pairs
         comps = staged(components(links, "hub", "fp"), "groups")
-        left = live.select("sig", "fp")
-        while True:
-            # nodes of a signature that its hub did not bring together
-            named = left.join(comps, F.col("fp") == F.col("node"), "left").select(
-                "sig", "fp", F.coalesce("comp", "fp").alias("comp")
-            )
-            apart = named.groupBy("sig").agg(
-                F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size"),
-                F.min(F.struct("fp", "comp")).alias("hub"),
-            ).where("lo <> hi").drop("lo", "hi")
-            open_ = staged(named.join(apart, "sig"), "open")
-            if open_.isEmpty():
-                break
-            few = open_.where(F.col("size") <= FEW).select("sig", "fp", "comp")
-            more = few.select("sig", F.col("fp").alias("hub"), F.col("comp").alias("_c")).join(few, "sig").where(
-                "hub < fp and _c <> comp"
-            )
-            many = open_.where(F.col("size") > FEW)
-            starred = many.where(F.col("comp") != F.col("hub.comp")).select(F.col("hub.fp").alias("hub"), "fp")
-            fresh = more.select("hub", "fp").union(starred.select("hub", "fp")).distinct()
-            fresh = staged(fresh.join(tested, ["hub", "fp"], "left_anti"), "pairs")
-            tested = tested.union(fresh)
-            links = staged(links.union(_verified(fresh, sets, num, den)), "links")
-            comps = staged(components(links, "hub", "fp"), "groups")
-            left = staged(many.where(F.col("fp") != F.col("hub.fp")).select("sig", "fp"), "open")
+        # nodes of a signature that its smallest one did not bring together
+        named = live.select("sig", "fp").join(comps, F.col("fp") == F.col("node"), "left").select(
+            "sig", "fp", F.coalesce("comp", "fp").alias("comp")
+        )
+        apart = named.groupBy("sig").agg(
+            F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size")
+        ).where("lo <> hi").select(F.col("sig").alias("_s"), "size")
+        open_ = staged(named.join(apart, F.col("sig") == F.col("_s")).drop("_s"), "open")
+        few = open_.where(F.col("size") <= FEW).drop("size")
+        more = few.select("sig", F.col("fp").alias("hub"), F.col("comp").alias("_c")).join(few, "sig").where(
+            "hub < fp and _c <> comp"
+        ).select("hub", "fp").distinct()
+        fresh = staged(more.join(pairs, ["hub", "fp"], "left_anti"), "pairs")
+        links = links.union(_verified(fresh, sets, num, den))
+        many = open_.where(F.col("size") > FEW).select("sig", "fp")
+        if not many.isEmpty():
+            links = links.union(_block_links(many, sets, num, den))
+        links = staged(links, "links")
+        comps = staged(components(links, "hub", "fp"), "groups")
 
     filled = rows.where("n > 0").join(comps, F.col("fp") == F.col("node"), "left").withColumn(
         "group", F.coalesce("comp", "fp")

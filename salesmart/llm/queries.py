@@ -22,7 +22,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.by_position(mixing.mix(_table(spark, sf_dir, "documents")))
-    return mixed.select("doc_id", "size", "source_size", "target", "taken", "first_position")
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", F.round("first_position", 6).alias("first_position"))
 
 
 def op2_partenum(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,6 +17,8 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _RANDOM = np.random.default_rng(4_2024)
 _BYTE = _RANDOM.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_SHIFT_30, _SHIFT_27, _SHIFT_31 = np.uint64(30), np.uint64(27), np.uint64(31)
+_MIX_1, _MIX_2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -44,9 +46,13 @@ def steps(offsets: np.ndarray, most: int = STEP_BYTES) -> Iterator[tuple[int, in
 
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every bit."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    y = x >> _SHIFT_30
+    y ^= x
+    y *= _MIX_1
+    y ^= y >> _SHIFT_27
+    y *= _MIX_2
+    y ^= y >> _SHIFT_31
+    return y
 
 
 def powers(n: int) -> np.ndarray:
