@@ -20,8 +20,9 @@ fall together are candidates, and candidates are verified on their sets.
 * Candidates of a signature meet its smallest node, so that a group of thousands
   of near copies costs about as many comparisons as it has members. Only where
   this leaves a signature's nodes in different groups are they compared further:
-  few of them pair by pair, many in blocks of bounded size, each pair of blocks as
-  one matrix product in a task that returns the links alone.
+  few of them pair by pair; many, together with those of signatures that share
+  nodes with theirs, in blocks of bounded size, each pair of blocks as one matrix
+  product in a task that returns only links that hold its groups together.
 
 Results for odd input: a null text, and one without words, is an empty set, linked
 with nothing; one with fewer words than a shingle has its whole sequence as one;
@@ -56,7 +57,9 @@ FREQUENT, FREQUENT_MOST = 0.001, 1_000_000
 #: Nodes of one signature that are compared pair by pair, once its smallest node has met all.
 FEW = 64
 #: Shingles of a block of nodes (and one set more at most), and shingles that a matrix product takes at once.
-BLOCK_SHINGLES, PRODUCT_COLUMNS = 100_000, 8_192
+BLOCK_SHINGLES, PRODUCT_COLUMNS = 300_000, 2_048
+#: A node counts as this many shingles at least, which bounds the nodes of a block.
+NODE_SHINGLES = 150
 _K1, _K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -361,22 +364,23 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
 
 
 def _block_links(nodes: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """All similar pairs (hub, fp) among the nodes of each signature."""
-    along = Window.partitionBy("sig").orderBy("fp").rowsBetween(Window.unboundedPreceding, 0)
+    """Pairs (hub, fp) that hold together what is similar among the nodes (cluster, fp) of each cluster."""
+    along = Window.partitionBy("cluster").orderBy("fp").rowsBetween(Window.unboundedPreceding, -1)
+    weight = F.greatest("n", F.lit(NODE_SHINGLES))
     sized = nodes.join(sets.select("fp", "n"), "fp").withColumn(
-        "block", F.floor((F.sum("n").over(along) - F.col("n")) / BLOCK_SHINGLES).cast("int")
+        "block", F.floor(F.coalesce(F.sum(weight).over(along), F.lit(0)) / BLOCK_SHINGLES).cast("int")
     )
-    last = sized.groupBy(F.col("sig").alias("_s")).agg(F.max("block").alias("last"))
-    dealt = sized.drop("n").join(last, F.col("sig") == F.col("_s")).select(
-        "sig", "fp", "block", F.explode(F.sequence(F.lit(0), "last")).alias("other")
+    last = sized.groupBy(F.col("cluster").alias("_c")).agg(F.max("block").alias("last"))
+    dealt = sized.drop("n").join(last, F.col("cluster") == F.col("_c")).select(
+        "cluster", "fp", "block", F.explode(F.sequence(F.lit(0), "last")).alias("other")
     )
     keyed = dealt.select(
-        "sig", "fp", "block", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b")
+        "cluster", "fp", "block", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b")
     ).join(sets, "fp")
 
     def compare(group: pa.Table) -> pa.Table:
         group = group.combine_chunks()
-        fp, block, n = (group.column(c).to_numpy() for c in ("fp", "block", "n"))
+        fp, n = group.column("fp").to_numpy(), group.column("n").to_numpy()
         shingles = group.column("shingles").combine_chunks()
         values = shingles.values.to_numpy()[shingles.offsets[0].as_py() : shingles.offsets[-1].as_py()]
         owner = np.repeat(np.arange(len(fp)), n)
@@ -390,15 +394,23 @@ def _block_links(nodes: DataFrame, sets: DataFrame, num: int, den: int) -> DataF
             held = np.zeros((len(fp), PRODUCT_COLUMNS), np.float32)
             held[owner[at], column[at] - lo] = 1
             both += held @ held.T
-        both = np.rint(both).astype(np.int64)
-        similar = both * den >= (n[:, None] + n[None, :] - both) * num
-        # of two blocks only pairs across them: each block is compared with itself elsewhere
-        cross = block[:, None] != block[None, :] if block.min() != block.max() else np.ones_like(similar)
-        i, j = np.nonzero(similar & cross & (fp[:, None] < fp[None, :]))
-        return pa.table({"hub": fp[i], "fp": fp[j]})
-
-    found = keyed.groupBy("sig", "a", "b").applyInArrow(compare, "hub long, fp long")
-    return found.distinct()
+        # walk each group from its smallest node; a step is a link
+        left = np.ones(len(fp), bool)
+        links: list[tuple[int, int]] = []
+        for first in np.argsort(fp, kind="stable"):
+            ahead = [int(first)] if left[first] else []
+            left[first] = False
+            while ahead:
+                i = ahead.pop()
+                shares = np.rint(both[i]).astype(np.int64)
+                near = np.flatnonzero(left & (shares * den >= (n[i] + n - shares) * num))
+                left[near] = False
+                links += [(i, int(j)) for j in near]
+                ahead += near.tolist()
+        at = np.array(links, np.int64).reshape(-1, 2)
+        return pa.table({"hub": fp[at[:, 0]], "fp": fp[at[:, 1]]})
+
+    return keyed.groupBy("cluster", "a", "b").applyInArrow(compare, "hub long, fp long").distinct()
 
 
 def similar_groups(
@@ -446,7 +458,10 @@ def similar_groups(
         links = links.union(_verified(fresh, sets, num, den))
         many = open_.where(F.col("size") > FEW).select("sig", "fp")
         if not many.isEmpty():
-            links = links.union(_block_links(many, sets, num, den))
+            least = many.groupBy(F.col("sig").alias("_s")).agg(F.min("fp").alias("hub"))
+            clusters = components(many.join(least, F.col("sig") == F.col("_s")), "hub", "fp")
+            clusters = staged(clusters.select(F.col("comp").alias("cluster"), F.col("node").alias("fp")), "clusters")
+            links = links.union(_block_links(clusters, sets, num, den))
         links = staged(links, "links")
         comps = staged(components(links, "hub", "fp"), "groups")
 
@@ -454,7 +469,8 @@ def similar_groups(
         "group", F.coalesce("comp", "fp")
     )
     who = F.struct(F.col("id").isNull().alias("no_id"), "id", "text_hash")
-    firsts = filled.groupBy(F.col("group").alias("_g")).agg(F.min(who).alias("first"))
+    # read from a table, so that a group that many documents share can be split in the join
+    firsts = staged(filled.groupBy(F.col("group").alias("_g")).agg(F.min(who).alias("first")), "firsts")
     grouped = filled.join(firsts, F.col("group") == F.col("_g")).select(
         F.col("id").alias(key), "text_hash", F.col("n").alias("n_shingles"), F.col("first.id").alias("component_id"),
         (who == F.col("first")).alias("is_first"),
