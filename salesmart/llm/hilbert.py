@@ -199,20 +199,31 @@ def search(
     around = F.sequence(
         F.greatest(F.col("block") - window, F.lit(0).cast("long")), F.least(F.col("block") + window, F.lit(blocks - 1).cast("long"))
     )
-    queries = placed.where("asked").select("curve", F.explode(around).alias("block"), F.col("c").alias("q"), "v")
+    queries = placed.where("asked").select(
+        F.col("curve").alias("on_curve"), F.explode(around).alias("at_block"), F.col("c").alias("q"), F.col("v").alias("wanted")
+    )
 
     def compare(group: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
         if not len(group) or not len(wanted):
             return pd.DataFrame({"q": [], "ids": [], "scores": []})
-        found = best_of(np.stack(wanted["v"]), np.stack(group["v"]), group["c"].to_numpy(), reach)
+        found = best_of(np.stack(wanted["wanted"]), np.stack(group["v"]), group["c"].to_numpy(), reach)
         return pd.DataFrame({"q": wanted["q"], "ids": [i for i, _ in found], "scores": [s for _, s in found]})
 
     lists = (
         placed.select("curve", "block", "c", "v").groupBy("curve", "block")
-        .cogroup(queries.groupBy("curve", "block"))
+        .cogroup(queries.groupBy("on_curve", "at_block"))
         .applyInPandas(compare, "q long, ids array<long>, scores array<double>")
     )
-    near = _top(_pairs(lists).dropDuplicates(["q", "c"]), reach).select("q", "c", "score")
+
+    def merge(found: pd.DataFrame) -> pd.DataFrame:
+        ids, scores = np.concatenate(list(found["ids"])), np.concatenate(list(found["scores"]))
+        ids, at = np.unique(ids, return_index=True)  # curves find one vector again and again
+        order = np.lexsort((ids, -scores[at]))[:reach]
+        return pd.DataFrame({"q": found["q"].iloc[:1].tolist(), "ids": [ids[order]], "scores": [scores[at][order]]})
+
+    # a query has one list for each of the blocks in its windows
+    merged = lists.groupBy("q").applyInPandas(merge, "q long, ids array<long>, scores array<double>")
+    near = _pairs(merged).select("q", "c", "score")
     members = classes.select(F.col("c").alias("_c"), F.explode("ids").alias("vec_id"))
     # of a class the smallest ids stand for all, as there are enough of them
     listed = staged(
