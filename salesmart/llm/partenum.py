@@ -38,7 +38,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesmart.llm.common import staged
@@ -58,6 +58,8 @@ FREQUENT, FREQUENT_MOST = 0.001, 1_000_000
 FEW = 64
 #: Shingles of a block of nodes (and one set more at most), and shingles that a matrix product takes at once.
 BLOCK_SHINGLES, PRODUCT_COLUMNS = 300_000, 2_048
+#: Rows of two numbers each that are broadcast at most; more are joined by a shuffle.
+BROADCAST_ROWS = 500_000
 #: A node counts as this many shingles at least, which bounds the nodes of a block.
 NODE_SHINGLES = 150
 _K1, _K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
@@ -206,6 +208,12 @@ def signatures(e: np.ndarray, num: int, den: int, frequent: np.ndarray, counts:
     return np.concatenate(out)
 
 
+def _only(frame: DataFrame, ids: DataFrame, on: Column) -> DataFrame:
+    """Rows of ``frame`` that match some of ``ids``, which are broadcast if they are few."""
+    ids = staged(ids.distinct(), "ids")
+    return frame.join(F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids, on, "left_semi")
+
+
 def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
@@ -317,8 +325,8 @@ def _node_sets(docs: DataFrame, key: str, text: str, n_words: int, rows: DataFra
     place = rows.join(nodes, "fp", "left_semi").groupBy("fp").agg(first).select(
         F.col("d.id").alias("_id"), F.col("d.text_hash").alias("_hash")
     )
-    wanted = _texts(docs, key, text).join(
-        place, F.col("id").eqNullSafe(F.col("_id")) & F.col("text_hash").eqNullSafe(F.col("_hash")), "left_semi"
+    wanted = _only(
+        _texts(docs, key, text), place, F.col("id").eqNullSafe(F.col("_id")) & F.col("text_hash").eqNullSafe(F.col("_hash"))
     )
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -342,8 +350,10 @@ def _node_sets(docs: DataFrame, key: str, text: str, n_words: int, rows: DataFra
 
 def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs (hub, fp) that are similar."""
-    a = sets.select(F.col("fp").alias("_h"), F.col("n").alias("m"), F.col("shingles").alias("others"))
-    sized = pairs.join(sets, "fp").join(a, F.col("hub") == F.col("_h"))
+    some = _only(sets, pairs.select(F.col("fp").alias("_f")), F.col("fp") == F.col("_f"))
+    hubs = _only(sets, pairs.select(F.col("hub").alias("_f")), F.col("fp") == F.col("_f"))
+    a = hubs.select(F.col("fp").alias("_h"), F.col("n").alias("m"), F.col("shingles").alias("others"))
+    sized = pairs.join(some, "fp").join(a, F.col("hub") == F.col("_h"))
     possible = sized.where(F.least("n", "m") * den >= F.greatest("n", "m") * num).select("hub", "fp", "shingles", "others")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
