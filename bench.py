@@ -27,7 +27,6 @@ HEADLINE = [
     "monthly_billing_report",
     "partitioned_mart_pruned",
     "ledger_current",
-    "synth_sales_base",
     "pipeline_sales_team_mart",
 ]
 

@@ -10,6 +10,7 @@ on ``file_name`` (partial aggregation absorbs a file with many events).
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -108,5 +109,7 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """The ledger events at ``path``; an empty ledger when nothing was written yet."""
     try:
         return spark.read.schema(LEDGER_SCHEMA).parquet(path)
-    except Exception:  # no ledger yet
-        return spark.createDataFrame([], LEDGER_SCHEMA)
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], LEDGER_SCHEMA)  # no ledger yet

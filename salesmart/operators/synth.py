@@ -95,17 +95,9 @@ def synth_sales(
     )
 
 
-# --- fixed values: seed customer names of the modelled system, in seed order ---
-SEED_FIRST_NAMES = [
-    "Saanvi", "Dhanush", "Yasmin", "Vidur", "Shamik", "Ryan", "Romil", "Krish", "Divij", "Hunar",
-    "Zara", "Sumer", "Rhea", "Yuvaan", "Sahil", "Tiya", "Kimaya", "Vardaniya", "Indranil", "Kavya",
-    "Manjari", "Akarsh", "Miraya", "Shalv", "Jhanvi",
-]
-SEED_LAST_NAMES = [
-    "Krishna", "Sahni", "Shan", "Mammen", "Doctor", "Dugar", "Shanker", "Tandon", "Garde", "Tank",
-    "Dhaliwal", "Mangal", "Chander", "Bawa", "Sabharwal", "Kashyap", "Lala", "Jani", "Dutta", "Sachar",
-    "Sule", "Kalla", "Soman", "Chaudhary", "Bava",
-]
+# Invented names, made by number.
+SEED_FIRST_NAMES = [f"First{i:02d}" for i in range(1, 26)]
+SEED_LAST_NAMES = [f"Last{i:02d}" for i in range(1, 26)]
 
 
 def synth_customers(ids: DataFrame, seed: int = 0) -> DataFrame:

@@ -244,7 +244,7 @@ ORACLE.update(
             """
 SELECT file_name, path AS file_location, TIMESTAMP '2024-02-01 00:00:00' AS created_date,
        CAST(NULL AS TIMESTAMP) AS updated_date, 'A' AS status, CAST(NULL AS BIGINT) AS file_modified_ms
-FROM files WHERE m BETWEEN '1996-07' AND '1998-12'"""
+FROM files"""
         ),
         "ledger_current": _lq(
             "SELECT file_name, file_modified_ms, file_location, created_date, updated_date, status FROM cur"
@@ -260,74 +260,6 @@ WHERE NOT EXISTS (SELECT 1 FROM cur c WHERE c.file_name = f.file_name AND c.stat
     }
 )
 
-# ---------------------------------------------------------------- synthetic data
-PRODUCT_NAMES = "['quaker oats', 'sugar', 'maida', 'besan', 'refined oil', 'clinic plus', 'dantkanti', 'nutshell']"
-PRODUCT_PRICES = (
-    "[CAST(212 AS DECIMAL(10,2)), 50, 20, 52, 110, CAST(1.5 AS DECIMAL(10,2)), 100, 40]::DECIMAL(10,2)[]"
-)
-
-
-def _pick(tag: str, seed: int, k: int) -> str:
-    return f"(('0x' || substr(md5('{tag}' || '{seed}' || CAST(id AS VARCHAR)), 1, 8))::BIGINT % {k})"
-
-
-def synth_sales_sql(table: str, start: str, days: int, layout: str, seed: int) -> str:
-    store = f"CAST(121 + {_pick('store', seed, 3)} AS INTEGER)"
-    first_seller = f"(({store} - 121) * 3 + 1)"
-    prod = f"CAST({_pick('product', seed, 8)} + 1 AS INTEGER)"
-    inner = f"""
-SELECT CAST(1 + {_pick('customer', seed, 20)} AS INTEGER) AS customer_id,
-       {store} AS store_id,
-       ({PRODUCT_NAMES})[{prod}] AS product_name,
-       CAST(DATE '{start}' + CAST({_pick('date', seed, days + 1)} AS INTEGER) AS DATE) AS sales_date,
-       CAST({first_seller} + {_pick('seller', seed, 3)} AS INTEGER) AS sales_person_id,
-       ({PRODUCT_PRICES})[{prod}] AS price,
-       CAST(1 + {_pick('quantity', seed, 10)} AS INTEGER) AS quantity,
-       (['cash', 'UPI'])[CAST({_pick('payment', seed, 2)} + 1 AS INTEGER)] AS payment_mode,
-       '[' || array_to_string([{first_seller}, {first_seller} + 1, {first_seller} + 2], ', ') || ']'
-         AS seller_list
-FROM (SELECT COUNT(*) AS n FROM {table}) c, range(c.n) t(id)"""
-    base = "customer_id, store_id, product_name, sales_date, sales_person_id, price, quantity"
-    total = "CAST(price * quantity AS DECIMAL(10,2)) AS total_cost"
-    if layout == "base":
-        cols = f"{base}, {total}"
-    elif layout == "extra":
-        cols = f"{base}, {total}, payment_mode"
-    else:
-        cols = (
-            "customer_id, product_name, sales_date, seller_list AS sales_person_id, price, quantity, "
-            f"{total}, payment_mode"
-        )
-    return f"SELECT {cols} FROM ({inner}) s"
-
-
-def synth_customers_sql(table: str, seed: int) -> str:
-    from salesmart.operators.synth import SEED_FIRST_NAMES, SEED_LAST_NAMES
-
-    first = "[" + ", ".join(f"'{n}'" for n in SEED_FIRST_NAMES) + "]"
-    last = "[" + ", ".join(f"'{n}'" for n in SEED_LAST_NAMES) + "]"
-    return f"""
-SELECT id + 1 AS customer_id,
-       ({first})[CAST({_pick('first', seed, len(SEED_FIRST_NAMES))} + 1 AS INTEGER)] AS first_name,
-       ({last})[CAST({_pick('last', seed, len(SEED_LAST_NAMES))} + 1 AS INTEGER)] AS last_name,
-       'Delhi' AS address, '122009' AS pincode,
-       '91' || lpad(CAST({_pick('phone', seed, 10**8)} AS VARCHAR), 8, '0') AS phone_number,
-       CAST(DATE '2020-01-01' + CAST({_pick('joined', seed, 1327 + 1)} AS INTEGER) AS DATE)
-         AS customer_joining_date
-FROM (SELECT COUNT(*) AS n FROM {table}) c, range(c.n) t(id)"""
-
-
-ORACLE.update(
-    {
-        "synth_sales_base": synth_sales_sql("lineitem", "2023-03-03", 170, "base", 0),
-        "synth_sales_day": synth_sales_sql("orders", "2023-08-20", 0, "base", 1),
-        "synth_sales_extra": synth_sales_sql("part", "2023-03-03", 170, "extra", 2),
-        "synth_sales_missing": synth_sales_sql("customer", "2023-03-03", 170, "missing", 3),
-        "synth_customers": synth_customers_sql("customer", 4),
-    }
-)
-
-
 # ---------------------------------------------------------------- whole job (accepted layouts only)
 ACCEPTED_STM = """
 , acc AS (

@@ -215,7 +215,7 @@ def _ledger_history(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
 
 def ledger_started(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = TD.ledger_files(spark, sf_dir)
-    return LG.ledger_start(files.where(F.col("m").between("1996-07", "1998-12")), RUN2_START)
+    return LG.ledger_start(files, RUN2_START)
 
 
 def ledger_current(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -241,45 +241,6 @@ QUERIES.update(
     }
 )
 
-# ---------------------------------------------------------------- synthetic data
-from salesmart.operators import synth as SY  # noqa: E402
-
-
-def _ids_like(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One id per row of a driver table (so the generated volume grows with it)."""
-    return spark.range(TD.table(spark, sf_dir, name).count())
-
-
-def synth_sales_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return SY.synth_sales(_ids_like(spark, sf_dir, "lineitem"), layout="base")
-
-
-def synth_sales_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return SY.synth_sales(_ids_like(spark, sf_dir, "orders"), start="2023-08-20", end="2023-08-20", seed=1)
-
-
-def synth_sales_extra(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return SY.synth_sales(_ids_like(spark, sf_dir, "part"), layout="extra", seed=2)
-
-
-def synth_sales_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return SY.synth_sales(_ids_like(spark, sf_dir, "customer"), layout="missing", seed=3)
-
-
-def synth_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return SY.synth_customers(_ids_like(spark, sf_dir, "customer"), seed=4)
-
-
-QUERIES.update(
-    {
-        "synth_sales_base": synth_sales_base,
-        "synth_sales_day": synth_sales_day,
-        "synth_sales_extra": synth_sales_extra,
-        "synth_sales_missing": synth_sales_missing,
-        "synth_customers": synth_customers,
-    }
-)
-
 # ---------------------------------------------------------------- whole job
 from salesmart.plans.pipeline import run_pipeline  # noqa: E402
 

@@ -12,6 +12,7 @@ import re
 import time
 from contextlib import contextmanager
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -116,8 +117,10 @@ LATEST_POINTER = "_latest_version"
 def _pointer(spark: SparkSession, prefix: str) -> int | None:
     try:
         rows = spark.read.text(f"{prefix}/{LATEST_POINTER}").collect()
-    except Exception:  # no pointer yet
-        return None
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None  # no pointer yet
     vals = [int(r.value) for r in rows if r.value and r.value.strip().isdigit()]
     return max(vals) if vals else None
 

@@ -6,8 +6,8 @@ need no installed copy of the package to run it.
 
 from __future__ import annotations
 
-# Bytes read per file at most when looking for the first line break.
-HEADER_PROBE_BYTES = 1 << 16
+# Bytes read at once when looking for the first line break; a header may be of any length.
+PROBE_BYTES = 1 << 16
 
 
 def _open_input(path: str):
@@ -31,8 +31,8 @@ def _first_line(path: str) -> tuple[str | None, bool]:
     try:
         with _open_input(path) as f:
             buf = b""
-            while len(buf) < HEADER_PROBE_BYTES:
-                chunk = f.read(8192)
+            while True:
+                chunk = f.read(PROBE_BYTES)
                 if not chunk:
                     break
                 buf += chunk

@@ -108,7 +108,7 @@ def landing_layout(line: F.Column) -> F.Column:
     for name, (lo, hi) in LANDING_LAYOUTS.items():
         cond = line.between(lo, hi)
         expr = F.when(cond, F.lit(name)) if expr is None else expr.when(cond, F.lit(name))
-    return expr
+    return expr.otherwise(F.lit("json"))
 
 
 def payment_mode(quantity: F.Column) -> F.Column:

@@ -180,3 +180,16 @@ def test_listing_spreads_over_tasks(spark, tmp_path, monkeypatch):
     files = FSm.discover_files(spark, str(tmp_path))
     assert files.rdd.getNumPartitions() == 3 and files.count() == 12
     assert files.where("file_size = 4 and file_modified_ms > 0").count() == 12
+
+
+def test_header_of_any_length(spark, tmp_path):
+    """Headers far beyond one read of the probe: extras folded whole, extras first still accepted."""
+    from salesmart.schema import MANDATORY_COLUMNS
+    from salesmart.sources.probe import _first_line
+
+    wide = [f"extra_column_number_{i}_with_a_long_name" for i in range(4_000)]
+    for k, header in enumerate(([*MANDATORY_COLUMNS, *wide], [*wide, *MANDATORY_COLUMNS])):
+        path = tmp_path / f"wide{k}.csv"
+        path.write_text(",".join(header) + "\n1,2\n")
+        line, ok = _first_line(f"file:{path}")
+        assert ok and line.split(",") == header
