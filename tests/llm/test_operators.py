@@ -318,3 +318,16 @@ def test_oracle(spark, name):
 
     ok, msg = compare(QUERIES[name](spark, SF_ORACLE), duck(SF_ORACLE), ORACLE[name])
     assert ok, msg
+
+
+def test_sketches_never_differ_in_more_bits_than_the_sets_in_shingles():
+    rng = np.random.default_rng(5)
+    for size, other in [(1, 1), (3, 700), (700, 3), (600, 640), (5_000, 300), (2_048, 2_049)]:
+        shared = rng.integers(0, 1 << 63, min(size, other) * 9 // 10, dtype=np.uint64)
+        a, b = (
+            np.unique(np.concatenate([shared, rng.integers(0, 1 << 63, n - len(shared), dtype=np.uint64)])) for n in (size, other)
+        )
+        differ = partenum.sketches_differ(partenum.sketch(a), partenum.sketch(b))
+        assert differ <= len(np.setxor1d(a, b))
+        assert partenum.sketches_differ(partenum.sketch(a), partenum.sketch(a)) == 0
+    assert partenum.sketches_differ(partenum.sketch(shared[:0]), partenum.sketch(shared[:1])) == 1
