@@ -64,7 +64,6 @@ def parser() -> argparse.ArgumentParser:
     _add_dims(run)
     run.add_argument("--ledger")
     run.add_argument("--strict", action="store_true", help="refuse to run while a previous run is unfinished")
-    run.add_argument("--partition-overwrite", choices=["static", "dynamic"], default="static")
 
     st = sub.add_parser("stream", help="process newly landed files incrementally")
     _add_dims(st)
@@ -101,7 +100,6 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         res = run_pipeline(
             spark, args.landing, args.out, customer, store, team, product=product, ledger_path=args.ledger,
             how=args.how, scope=args.scope, ties=args.ties, strict=args.strict,
-            partition_overwrite=args.partition_overwrite,
         )
         report = {"pending_before": res.pending_before, "accepted_files": res.accepted_files,
                   "rejected_files": res.rejected_files, "snapshot_version": res.snapshot_version,

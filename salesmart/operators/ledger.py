@@ -4,8 +4,9 @@ The modelled system inserts one row per file with status ``A`` when a run
 starts and updates it to ``I`` when the run finishes.  Here both are appended
 events; the current state of a file is its latest event.  A run that dies
 between start and finish leaves its files in ``A``, which is exactly what the
-re-run guard reports next time.  All operators are joins / aggregates keyed
-on ``file_name`` (partial aggregation absorbs a file with many events).
+re-run guard reports next time.  A file is its full path and modification time,
+so equal names in dated folders are different files.  All operators are joins /
+aggregates keyed on the path (partial aggregation absorbs a file with many events).
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesmart.functions.columns import ts_literal
-from salesmart.schema import LEDGER_SCHEMA, STATUS_FINISHED, STATUS_STARTED
+from salesmart.schema import LEDGER_FILE_SCHEMA, LEDGER_SCHEMA, STATUS_FINISHED, STATUS_STARTED
 
 
 def _location(files: DataFrame) -> F.Column:
@@ -52,7 +53,7 @@ def ledger_finish(batch: DataFrame, ts) -> DataFrame:
 
 
 def ledger_current(ledger: DataFrame) -> DataFrame:
-    """L4 — latest status per landed file version (name + modification time).
+    """L4 — latest status per landed file version (path + modification time).
 
     First start and last finish times; events at the same instant order ``A``
     before ``I``.
@@ -61,8 +62,9 @@ def ledger_current(ledger: DataFrame) -> DataFrame:
         F.coalesce("updated_date", "created_date").alias("t"),
         (F.col("status") == F.lit(STATUS_FINISHED)).alias("fin"),
     )
-    return ledger.select(*LEDGER_SCHEMA.fieldNames()).groupBy("file_name", "file_modified_ms").agg(
-        F.max_by("file_location", order).alias("file_location"),
+    return ledger.select(*LEDGER_SCHEMA.fieldNames()).groupBy(
+        "file_name", "file_location", "file_modified_ms"
+    ).agg(
         F.min("created_date").alias("created_date"),
         F.max("updated_date").alias("updated_date"),
         F.max_by("status", order).alias("status"),
@@ -70,9 +72,9 @@ def ledger_current(ledger: DataFrame) -> DataFrame:
 
 
 def _same_file(files: DataFrame, states: DataFrame) -> list[F.Column]:
-    """Join condition: same name and same version (null-safe: no metadata on one side matches by name)."""
+    """Join condition: same path and same version (null-safe: no metadata on one side matches by path)."""
     return [
-        files["file_name"] == states["_s_name"],
+        files["_f_path"] == states["_s_path"],
         F.coalesce(files["_f_mod"], states["_s_mod"]).eqNullSafe(F.coalesce(states["_s_mod"], files["_f_mod"])),
     ]
 
@@ -81,35 +83,46 @@ def _states(ledger: DataFrame, status: str) -> DataFrame:
     return (
         ledger_current(ledger)
         .where(F.col("status") == F.lit(status))
-        .select(F.col("file_name").alias("_s_name"), F.col("file_modified_ms").alias("_s_mod"))
+        .select(F.col("file_location").alias("_s_path"), F.col("file_modified_ms").alias("_s_mod"))
     )
 
 
 def ledger_pending(files: DataFrame, ledger: DataFrame) -> DataFrame:
     """L3 + F3 + A5 — distinct names of landed files whose current status is unfinished."""
-    f = files.select("file_name", _modified(files)).withColumnRenamed("file_modified_ms", "_f_mod")
+    f = files.select("file_name", _location(files).alias("_f_path"), _modified(files).alias("_f_mod"))
     unfinished = _states(ledger, STATUS_STARTED)
     return f.join(unfinished, _same_file(f, unfinished), "left_semi").select("file_name").distinct()
 
 
 def unprocessed(files: DataFrame, ledger: DataFrame) -> DataFrame:
     """K8 — landed files (versions) not currently finished: the re-aimed "processed" archive."""
-    f = files.withColumn("_f_mod", _modified(files))
+    f = files.withColumn("_f_path", _location(files)).withColumn("_f_mod", _modified(files))
     done = _states(ledger, STATUS_FINISHED)
-    return f.join(done, _same_file(f, done), "left_anti").drop("_f_mod")
+    return f.join(done, _same_file(f, done), "left_anti").drop("_f_path", "_f_mod")
 
 
-def append_ledger(events: DataFrame, path: str) -> str:
+def next_run(ledger: DataFrame) -> int:
+    """Number of the next run: one above the last finished one.
+
+    A run that died has no finish events, so its successor takes its number and
+    replaces what it left.
+    """
+    finished = ledger.where(F.col("status") == F.lit(STATUS_FINISHED))
+    return (finished.agg(F.max("run_id")).first()[0] or 0) + 1
+
+
+def append_ledger(events: DataFrame, path: str, run_id: int | None = None) -> str:
     """Persist ledger events (append-only parquet)."""
-    events.select(*LEDGER_SCHEMA.fieldNames()).write.mode("append").parquet(path)
+    run = F.lit(run_id).cast("bigint").alias("run_id")
+    events.select(*LEDGER_SCHEMA.fieldNames(), run).write.mode("append").parquet(path)
     return path
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """The ledger events at ``path``; an empty ledger when nothing was written yet."""
     try:
-        return spark.read.schema(LEDGER_SCHEMA).parquet(path)
+        return spark.read.schema(LEDGER_FILE_SCHEMA).parquet(path)
     except AnalysisException as exc:
         if exc.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], LEDGER_SCHEMA)  # no ledger yet
+        return spark.createDataFrame([], LEDGER_FILE_SCHEMA)  # no ledger yet

@@ -125,18 +125,30 @@ def sales_team_month_mart(
         has shuffles (then the input joins run twice).  The totals are one row
         per seller and month — small next to the detail.
     """
-    keys = {"store_month": ["store_id", "sales_month"], "month": ["sales_month"]}.get(scope)
-    if keys is None:
-        raise ValueError("scope must be 'store_month' or 'month'")
-    if ties not in ("all", "one"):
-        raise ValueError("ties must be 'all' or 'one'")
-
     m = sales_person_month_totals(detail)
     if materialize:
         from salesmart.session import ensure_checkpoint_dir
 
         ensure_checkpoint_dir(detail.sparkSession)
         m = m.checkpoint(eager=True)
+    return sales_team_month_from_totals(m, scope, ties)
+
+
+def merged_seller_totals(totals: DataFrame) -> DataFrame:
+    """A2 over several runs' ``sales_person_month_totals``."""
+    return totals.groupBy("store_id", "sales_person_id", "full_name", "sales_month").agg(
+        F.sum("_total").alias("_total")
+    )
+
+
+def sales_team_month_from_totals(m: DataFrame, scope: str = "store_month", ties: str = "all") -> DataFrame:
+    """W1 from ``sales_person_month_totals`` (read twice, so best a written table)."""
+    keys = {"store_month": ["store_id", "sales_month"], "month": ["sales_month"]}.get(scope)
+    if keys is None:
+        raise ValueError("scope must be 'store_month' or 'month'")
+    if ties not in ("all", "one"):
+        raise ValueError("ties must be 'all' or 'one'")
+
     rank_key = F.struct(F.col("_total").alias("t"), (-F.col("sales_person_id")).alias("i"))
     top_expr = F.max("_total") if ties == "all" else F.max(rank_key)
     # Aliased keys: new attribute ids, so the join back is not an ambiguous self-join.

@@ -15,7 +15,14 @@ Order (idempotent re-runs):
    aggregate marts (customer month / day, sales-team month with incentive),
    the monthly CSV report
 8. append ledger ``I`` events — last, so a crash anywhere before leaves the
-   files pending and a re-run overwrites the same marts.
+   files pending.
+
+Marts accumulate over runs. What a run adds goes into its own ``run_id=N`` folders
+(detail marts, enriched fact, pre-aggregates per customer-day and seller-month);
+the aggregate marts merge the small pre-aggregates of all runs, so a run's cost
+follows its own files, not the history. ``N`` is one above the last finished run
+of the ledger: a run that died is replaced, folder by folder, by its re-run. A
+snapshot is the publication of one run's sales.
 """
 
 from __future__ import annotations
@@ -37,6 +44,7 @@ from salesmart.sinks import parquet as PQ
 from salesmart.sinks import quarantine as QU
 from salesmart.sinks import reports as RP
 from salesmart.sinks import tables as TB
+from salesmart.session import ensure_checkpoint_dir
 from salesmart.sources import files as FS
 
 
@@ -87,7 +95,6 @@ def run_pipeline(
     scope: str = "store_month",
     ties: str = "all",
     strict: bool = False,
-    partition_overwrite: str = "static",
     table_options: dict | None = None,
     outputs: frozenset[str] | None = None,
     clock=_now,
@@ -110,6 +117,7 @@ def run_pipeline(
         "audit": f"{out}/_staging/audit",
         "enriched": f"{out}/_staging/enriched",
         "customer_day_totals": f"{out}/_staging/customer_day_totals",
+        "seller_month_totals": f"{out}/_staging/seller_month_totals",
         "quarantine": f"{out}/sales_data_error",
         "customer_data_mart": f"{out}/customer_data_mart",
         "sales_team_data_mart": f"{out}/sales_team_data_mart",
@@ -123,6 +131,10 @@ def run_pipeline(
 
     timings: dict[str, float] = {}
 
+    def add_run(df: DataFrame, name: str) -> str:
+        """This run's part of a dataset that grows with every run."""
+        return PQ.write_mart(df, f"{paths[name]}/run_id={run_id}")
+
     @contextmanager
     def step(name: str):
         t0 = time.perf_counter()
@@ -133,6 +145,7 @@ def run_pipeline(
     with step("discover"):
         files = FS.discover_files(spark, landing)
         ledger = LG.read_ledger(spark, ledger_path)
+        run_id = LG.next_run(ledger)
         pending = LG.ledger_pending(files, ledger).count()
     if pending and strict:
         raise RerunRequired(f"{pending} file(s) from an unfinished run are waiting; re-run without strict")
@@ -155,7 +168,7 @@ def run_pipeline(
             "No Data available with correct files",
         )
         n_accepted = accepted.count()
-        LG.append_ledger(LG.ledger_start(accepted, clock()), ledger_path)
+        LG.append_ledger(LG.ledger_start(accepted, clock()), ledger_path, run_id)
 
     # 6. ingest + enrich, staged as the lineage cut
     with step("ingest_enrich"):
@@ -163,8 +176,7 @@ def run_pipeline(
         enriched = EN.enrich(fact, customer, store, sales_team, how=how)
         if product is not None:
             enriched = EN.enrich_product(enriched, product, how=how)
-        enriched.write.mode("overwrite").parquet(paths["enriched"])
-        enriched = spark.read.parquet(paths["enriched"])
+        enriched = spark.read.parquet(add_run(enriched, "enriched"))
 
     # 7. marts
     cdet = MA.customer_mart_detail(enriched)
@@ -172,21 +184,27 @@ def run_pipeline(
     version = 0
     with step("detail_marts"):
         if "customer_data_mart" in want:
-            PQ.write_mart(cdet, paths["customer_data_mart"])
+            add_run(cdet, "customer_data_mart")
         if "sales_team_data_mart" in want:
-            PQ.write_mart(sdet, paths["sales_team_data_mart"])
+            add_run(sdet, "sales_team_data_mart")
     if "sales_partitioned_data_mart" in want:
         with step("partitioned_mart"):
-            PQ.write_partitioned(sdet, paths["sales_partitioned_data_mart"], overwrite=partition_overwrite)
+            PQ.write_partitioned(
+                sdet.withColumn("run_id", F.lit(run_id)),
+                paths["sales_partitioned_data_mart"],
+                (*PQ.SALES_TEAM_PARTITIONS, "run_id"),
+                overwrite="dynamic",
+            )
     if "snapshots" in want:
         with step("snapshot"):
             version = PQ.publish_snapshot(sdet, paths["snapshots"])
 
     with step("aggregate_marts"):
+        # Kept for every run, whatever its outputs: later runs merge them.
+        add_run(MA.customer_day_totals(cdet), "customer_day_totals")
+        add_run(MA.sales_person_month_totals(sdet), "seller_month_totals")
         want_month = "customers_data_mart" in want or bool(table_options)
         if want_month or "customer_day_mart" in want:
-            # One pass over the detail for both customer marts.
-            MA.customer_day_totals(cdet).write.mode("overwrite").parquet(paths["customer_day_totals"])
             days = spark.read.parquet(paths["customer_day_totals"])
             if want_month:
                 PQ.write_mart(MA.customer_month_from_days(days), paths["customers_data_mart"])
@@ -194,9 +212,11 @@ def run_pipeline(
                 PQ.write_mart(MA.customer_day_from_days(days), paths["customer_day_mart"])
         need_mart = {"sales_team_month_mart", "monthly_report"} & want or table_options
         if need_mart:
+            merged = MA.merged_seller_totals(spark.read.parquet(paths["seller_month_totals"]))
+            ensure_checkpoint_dir(spark)
+            totals = merged.checkpoint(eager=True)
             PQ.write_mart(
-                MA.sales_team_month_mart(sdet, scope=scope, ties=ties, materialize=True),
-                paths["sales_team_month_mart"],
+                MA.sales_team_month_from_totals(totals, scope=scope, ties=ties), paths["sales_team_month_mart"]
             )
             mart = spark.read.parquet(paths["sales_team_month_mart"])
     if "monthly_report" in want:
@@ -210,5 +230,5 @@ def run_pipeline(
 
     # 8. ledger finish — last
     with step("ledger_finish"):
-        LG.append_ledger(LG.ledger_finish(accepted, clock()), ledger_path)
+        LG.append_ledger(LG.ledger_finish(accepted, clock()), ledger_path, run_id)
     return PipelineResult(out, ledger_path, pending, n_accepted, rejected, version, paths, timings)

@@ -109,6 +109,9 @@ LEDGER_SCHEMA = T.StructType(
     ]
 )
 
+# The stored ledger also names the run that an event belongs to.
+LEDGER_FILE_SCHEMA = T.StructType([*LEDGER_SCHEMA.fields, T.StructField("run_id", T.LongType())])
+
 CUSTOMER_MONTH_MART_COLUMNS = [
     "customer_id",
     "full_name",

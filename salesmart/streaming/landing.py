@@ -118,9 +118,10 @@ def make_batch_handler(
         batch_dir = f"{paths.enriched}/batch_id={batch_id}"
         _write_months(enriched.withColumn("sales_month", month_key("sales_date")), batch_dir, dynamic=False)
         touched = [r.sales_month for r in spark.read.parquet(batch_dir).select("sales_month").distinct().collect()]
+        months = [m for m in touched if m is not None]
         scoped = (
             spark.read.parquet(paths.enriched)
-            .where(F.col("sales_month").isin(touched))
+            .where(F.col("sales_month").isin(months) | (F.lit(None in touched) & F.col("sales_month").isNull()))
             .drop("batch_id", "sales_month")
         )
         cdet = MA.customer_mart_detail(scoped)

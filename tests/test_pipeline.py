@@ -100,3 +100,37 @@ def test_relanded_name_is_new_work(spark):
     assert second.accepted_files == 1
     rows = spark.read.parquet(second.paths["enriched"]).collect()
     assert [(r.customer_id, str(r.sales_date)) for r in rows] == [(5, "2023-05-01")]
+
+
+def test_marts_accumulate_over_runs(spark):
+    """Day 2 lands under day 1's file name in a folder of its own: both days' sales are in every mart."""
+    customer, store, _, team = dimensions(spark)
+    landing = tempfile.mkdtemp(prefix="salesmart-days-")
+    out = tempfile.mkdtemp(prefix="salesmart-days-out-")
+
+    def land(day, row):
+        os.makedirs(f"{landing}/{day}")
+        with open(f"{landing}/{day}/sales.csv", "w") as f:
+            f.write(f"{BASE}\n{row}\n")
+        os.utime(f"{landing}/{day}/sales.csv", (1_700_000_000, 1_700_000_000))
+
+    land("d1", "1,121,sugar,2023-03-03,1,50,2,100")
+    assert run_pipeline(spark, landing, out, customer, store, team).accepted_files == 1
+    land("d2", "1,121,sugar,2023-03-03,2,50,5,250")
+    second = run_pipeline(spark, landing, out, customer, store, team)
+    assert second.accepted_files == 1
+    p = second.paths
+    for name in ("enriched", "customer_data_mart", "sales_team_data_mart", "sales_partitioned_data_mart"):
+        assert spark.read.parquet(p[name]).agg(F.sum("total_cost")).first()[0] == 350
+    assert [r.total_sales for r in spark.read.parquet(p["customers_data_mart"]).collect()] == [350]
+    assert [r.total_sales for r in spark.read.parquet(p["customer_day_mart"]).collect()] == [350]
+    team_mart = {r.sales_person_id: float(r.incentive) for r in spark.read.parquet(p["sales_team_month_mart"]).collect()}
+    assert team_mart == {1: 0.0, 2: 2.5}
+    # a run that died after the marts leaves no finish events: its re-run replaces what it wrote
+    ledger = spark.read.parquet(second.ledger).where("status = 'A' or run_id = 1").collect()
+    again = spark.createDataFrame(ledger, spark.read.parquet(second.ledger).schema)
+    again.write.parquet(out + "/_ledger_died")
+    third = run_pipeline(spark, landing, out, customer, store, team, ledger_path=out + "/_ledger_died")
+    assert third.pending_before == 1
+    assert spark.read.parquet(p["sales_partitioned_data_mart"]).agg(F.sum("total_cost")).first()[0] == 350
+    assert [r.total_sales for r in spark.read.parquet(p["customers_data_mart"]).collect()] == [350]
