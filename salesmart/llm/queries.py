@@ -87,7 +87,7 @@ def op9_tokens(spark: SparkSession, sf_dir: str, vocabulary: str | None = None)
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_dir(spark, "warc")
-    warc.write_archives(_table(spark, sf_dir, "pages"), path)
+    warc.write_archives(_table(spark, sf_dir, "pages"), path, null_ids_revisit=False)
     return warc.page_captures(warc.assemble(warc.read_archives(spark, path, with_payload=False)))
 
 

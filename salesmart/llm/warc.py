@@ -2,7 +2,7 @@
 
 A page makes a request, a response and a metadata record, tied by
 ``WARC-Concurrent-To``. Of pages with equal payloads of at least
-``REVISIT_BYTES`` bytes, the one with the smallest id has a response record, the
+``REVISIT_BYTES`` bytes, the rows with the smallest id have a response record, the
 others a revisit record that refers to it and carries no payload. Records are
 built by DataFrame functions and written by Spark's text writer, which ends each
 one with the blank line that the format asks for; archives go to the shared folder,
@@ -13,9 +13,10 @@ Assembly joins records through concurrent-to identifiers, in either direction
 and through a request, and gives one nested row per capture.
 
 Results for odd input: a null payload is empty; a page without an id counts as
-after all others, and its id reads back null; repeated rows write equal records
-and read back as one capture; rows with one id but other url or payload are
-captures of their own; an empty table gives an archive without records and no
+after all others (or, without ``null_ids_revisit``, always has a response), and its
+id reads back null; repeated rows are captures of their own, told apart by an
+ordinal in their record ids, and so are rows with one id but other url or payload;
+an empty table gives an archive without records and no
 captures; a damaged record reads as a record of type ``malformed`` and reading
 goes on at the next record; other columns are not archived.
 """
@@ -35,6 +36,8 @@ from salesmart.llm.common import freed_shuffles, staged
 REVISIT_BYTES = 100
 #: Pages of one archive file; it bounds what a task holds when it reads one.
 PAGES_PER_FILE = 2_000
+#: Repeated rows that one task makes from one.
+COPIES_AT_ONCE = 64
 CRLF, END = "\r\n", "\r\n\r\n"
 DATE = "2024-01-01T00:00:00Z"
 RECORD_SCHEMA = (
@@ -44,7 +47,7 @@ RECORD_SCHEMA = (
 
 
 def _record_id(kind: str, *parts: Column) -> Column:
-    """A urn:uuid that is a function of a page's id, url and payload digest."""
+    """A urn:uuid that is a function of a page's id, url, payload digest and ordinal."""
     tagged = [F.concat(F.when(p.isNull(), "-").otherwise("+"), F.coalesce(p.cast("string"), F.lit(""))) for p in parts]
     h = F.md5(F.concat_ws("\n", F.lit(kind), *tagged))
     cut = [F.substring(h, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
@@ -59,7 +62,28 @@ def _record(headers: list[tuple[str, Column | str]], block: Column) -> Column:
     return F.concat(F.concat_ws(CRLF, *lines), F.lit(END), block)
 
 
-def page_records(pages: DataFrame) -> DataFrame:
+def _numbered(p: DataFrame) -> DataFrame:
+    """``p`` with ``nth``: 0, or 0 to n - 1 for n equal rows.
+
+    Equal rows are summed up in each task, and the sum is dealt out in short ranges
+    before it is unfolded, so no task holds or writes a whole group of them.
+    """
+    keyed = p.withColumn("_key", _record_id("row", F.col("page_id"), F.col("url"), F.col("digest")))
+    repeated = staged(keyed.groupBy("_key").agg(F.count("*").alias("_n")).where("_n > 1"), "warc-repeated")
+    columns = [*p.columns, "nth"]
+    if repeated.isEmpty():
+        return p.withColumn("nth", F.lit(0).cast("long"))
+    single = keyed.join(repeated, "_key", "left_anti").withColumn("nth", F.lit(0).cast("long"))
+    ranges = (
+        keyed.join(repeated, "_key").dropDuplicates(["_key"])
+        .withColumn("_from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1, F.lit(COPIES_AT_ONCE).cast("long"))))
+        .repartition(int(p.sparkSession.conf.get("spark.sql.shuffle.partitions")), "_key", "_from")
+    )
+    last = F.least(F.col("_from") + COPIES_AT_ONCE, F.col("_n")) - 1
+    return single.select(*columns).union(ranges.withColumn("nth", F.explode(F.sequence("_from", last))).select(*columns))
+
+
+def page_records(pages: DataFrame, *, null_ids_revisit: bool = True) -> DataFrame:
     """page_id, url, record_type and ``value``: the page's three records."""
     html = F.coalesce(F.col("html").cast("string"), F.lit(""))
     p = pages.select("page_id", "url", html.alias("html")).select("*", F.sha2("html", 256).alias("digest"))
@@ -69,13 +93,17 @@ def page_records(pages: DataFrame) -> DataFrame:
     )
     large = F.octet_length("html") >= REVISIT_BYTES
     # only payloads that occur more than once have a row here; a frequent one is summed up before it is shuffled
+    first_id, no_id = F.col("first.page_id"), F.col("page_id").isNull()
     firsts = (
-        p.where(large).groupBy(F.col("digest").alias("_digest")).agg(F.min(who).alias("first"), F.max(who).alias("last"))
-        .where("first <> last")
+        p.where(large).groupBy(F.col("digest").alias("_digest"))
+        .agg(F.min(who).alias("first"), F.max("page_id").alias("last"), F.max(no_id).alias("any_no_id"))
+        .where((first_id < F.col("last")) | (first_id.isNotNull() & F.col("any_no_id") & F.lit(null_ids_revisit)))
     )
-    m = p.join(firsts, p["digest"] == firsts["_digest"], "left")
-    own = [F.col("page_id"), F.col("url"), F.col("digest")]
-    revisit = F.col("first").isNotNull() & (who != F.col("first"))
+    rows = _numbered(p)
+    m = rows.join(firsts, F.col("digest") == F.col("_digest"), "left")
+    own = [F.col("page_id"), F.col("url"), F.col("digest"), F.col("nth")]
+    # the first of the rows with the smallest id is the one referred to
+    revisit = F.col("first").isNotNull() & F.coalesce(F.col("page_id") != first_id, F.lit(null_ids_revisit))
     kind = F.when(revisit, "revisit").otherwise("response")
     uri = F.regexp_replace(F.coalesce("url", F.lit("")), "[\\x00-\\x20\\x7F]", "%20")
     capture, request = _record_id("capture", *own), _record_id("request", *own)
@@ -87,7 +115,7 @@ def page_records(pages: DataFrame) -> DataFrame:
     response = _record(
         [("WARC-Type", kind), ("WARC-Record-ID", capture), *common, ("Content-Type", "application/http;msgtype=response"),
          ("WARC-Payload-Digest", F.concat(F.lit("sha256:"), "digest")),
-         ("WARC-Refers-To", F.when(revisit, _record_id("capture", F.col("first.page_id"), F.col("first.url"), F.col("digest")))),
+         ("WARC-Refers-To", F.when(revisit, _record_id("capture", first_id, F.col("first.url"), F.col("digest"), F.lit(0)))),
          ("WARC-Profile", F.when(revisit, F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")))],
         F.when(revisit, head).otherwise(F.concat(head, "html")),
     )
@@ -104,11 +132,13 @@ def page_records(pages: DataFrame) -> DataFrame:
     return m.select("page_id", "url", kind.alias("record_type"), F.concat_ws(END, asked, response, about).alias("value"))
 
 
-def write_archives(pages: DataFrame, path: str, pages_per_file: int = PAGES_PER_FILE) -> None:
+def write_archives(
+    pages: DataFrame, path: str, pages_per_file: int = PAGES_PER_FILE, *, null_ids_revisit: bool = True
+) -> None:
     """Writes gzipped archives, each of whole transactions."""
     with freed_shuffles(pages.sparkSession):
         (
-            page_records(pages).select("value")
+            page_records(pages, null_ids_revisit=null_ids_revisit).select("value")
             .write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", pages_per_file)
             .text(path)
         )
@@ -197,7 +227,7 @@ def assemble(records: DataFrame) -> DataFrame:
     """
     one = [c for c in records.columns if c != "record_id"]
     rows = records.where(F.col("record_id").isNotNull())
-    # equal records of repeated pages are one
+    # a record that archives hold twice is one
     unique = rows.groupBy("record_id").agg(F.min(F.struct(*one)).alias("r"))
     body = unique.select("record_id", "r.*")
     is_capture = F.col("record_type").isin("response", "revisit")

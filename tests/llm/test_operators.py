@@ -283,6 +283,24 @@ def test_warc(spark):
     assert warc.assemble(warc.read_archives(spark, empty)).count() == 0
 
 
+def test_warc_gives_every_row_of_pages(spark, tmp_path):
+    import duckdb
+
+    from salesmart.llm.oracle import ORACLE
+    from salesmart.llm.queries import QUERIES
+    from tests.harness import compare
+
+    big, other = "<p>" + "x" * 200, "<p>" + "y" * 150
+    rows = [(7, "u", big)] * 300 + [(3, "a", big), (3, "b", big), (3, "b", big), (3, None, big), (3, "a", other)]
+    rows += [(None, "u", big)] * 3 + [(8, "u", other)] * (2 * warc.COPIES_AT_ONCE) + [(9, None, "short")] * 2
+    rows += [(None, None, None)] * 2 + [(None, "u", "z" * 100), (None, "v", "z" * 100), (4, "u", "é" * 50), (4, "u", "é" * 49)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5).write.parquet(f"{tmp_path}/pages.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+    ok, msg = compare(QUERIES["op10_warc"](spark, str(tmp_path)), con, ORACLE["op10_warc"])
+    assert ok and msg == f"{len(rows)} rows", msg
+
+
 def test_pipeline_stages(spark, tmp_path):
     import corpus_pipeline as P
 
