@@ -3,8 +3,10 @@
 Vectors are projected by a few random rotations onto ``DIMS`` axes, shifted and
 cut to ``BITS`` bits an axis; the Hilbert index of the cell orders them along a
 curve, one order for each rotation. Spark range-partitions each order and cuts
-it into blocks of equal size. A query looks at the blocks around its own on every
-curve; blocks give their best by exact inner products, and the lists merge.
+it into blocks of equal size, and the queries among them into chunks of that size.
+A query looks at the blocks around its own on every curve; a task compares one block
+with one chunk by exact inner products, and the lists of their best merge, some at a
+time, so what a task holds does not grow with the table.
 
 How many blocks on either side is measured: for ``CALIBRATION`` queries all rows
 are searched, and the window is the smallest that covers ``TARGET`` of their true
@@ -28,13 +30,15 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesmart.llm.common import staged
 
 CURVES, DIMS, BITS = 3, 8, 7
 BLOCK = 4_096
+#: Lists of one query that merge at once.
+LISTS_AT_ONCE = 256
 CALIBRATION, TARGET = 128, 0.95
 SEED = 11
 
@@ -181,48 +185,70 @@ def search(
     cut = staged(
         lined.repartitionByRange(parts, "curve", "key", "c").withColumn("_p", F.spark_partition_id()), "ann-curves"
     )
-    before = Window.partitionBy("curve").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    counts = cut.groupBy("curve", F.col("_p").alias("_q")).agg(F.count("*").alias("n"))
+    is_asked = F.col("asked").cast("long")
+    counts = cut.groupBy("curve", F.col("_p").alias("_q")).agg(F.count("*").alias("n"), F.sum(is_asked).alias("n_asked"))
+    earlier = Window.partitionBy("curve").orderBy("_q").rowsBetween(Window.unboundedPreceding, -1)
     base = counts.select(
         F.col("curve").alias("_c"), "_q",
-        F.coalesce(F.sum("n").over(Window.partitionBy("curve").orderBy("_q").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"),
+        F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"),
+        F.coalesce(F.sum("n_asked").over(earlier), F.lit(0)).alias("base_asked"),
     )
     inside = Window.partitionBy("curve", "_p").orderBy("key", "c")
     placed = staged(
-        cut.withColumn("_i", F.row_number().over(inside) - 1)
+        cut.withColumn("_i", F.row_number().over(inside) - 1).withColumn("_a", F.sum(is_asked).over(inside) - is_asked)
         .join(base, (F.col("curve") == F.col("_c")) & (F.col("_p") == F.col("_q")))
-        .select("curve", F.floor((F.col("base") + F.col("_i")) / block).cast("long").alias("block"), "c", "v", "asked"),
+        .select(
+            "curve", F.floor((F.col("base") + F.col("_i")) / block).cast("long").alias("block"),
+            F.floor((F.col("base_asked") + F.col("_a")) / block).cast("long").alias("chunk"), "c", "v", "asked",
+        ),
         "ann-blocks",
-    )
+    )
 
     window = _window(classes, placed, reach, target, calibration) if blocks > 1 else 0
-    around = F.sequence(
-        F.greatest(F.col("block") - window, F.lit(0).cast("long")), F.least(F.col("block") + window, F.lit(blocks - 1).cast("long"))
-    )
+
+    def around(first: str, last: str) -> Column:
+        return F.sequence(
+            F.greatest(F.col(first) - window, F.lit(0).cast("long")), F.least(F.col(last) + window, F.lit(blocks - 1).cast("long"))
+        )
+
     queries = placed.where("asked").select(
-        F.col("curve").alias("on_curve"), F.explode(around).alias("at_block"), F.col("c").alias("q"), F.col("v").alias("wanted")
+        F.col("curve").alias("on_curve"), F.explode(around("block", "block")).alias("at_block"), F.col("chunk").alias("in_chunk"),
+        F.col("c").alias("q"), F.col("v").alias("wanted"),
+    )
+    # a block goes to each chunk whose windows reach it
+    spans = placed.where("asked").groupBy("curve", "chunk").agg(F.min("block").alias("lo"), F.max("block").alias("hi"))
+    reached = staged(
+        spans.select(F.col("curve").alias("_c"), F.col("chunk").alias("for_chunk"), F.explode(around("lo", "hi")).alias("_b")), "ann-reached"
     )
+    sides = placed.select("curve", "block", "c", "v").join(
+        reached, (F.col("curve") == F.col("_c")) & (F.col("block") == F.col("_b"))
+    ).select("curve", "block", "for_chunk", "c", "v")
+    list_schema = "q long, part long, ids array<long>, scores array<double>"
 
-    def compare(group: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
+    def compare(key: tuple, group: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
         if not len(group) or not len(wanted):
-            return pd.DataFrame({"q": [], "ids": [], "scores": []})
+            return pd.DataFrame({"q": [], "part": [], "ids": [], "scores": []})
         found = best_of(np.stack(wanted["wanted"]), np.stack(group["v"]), group["c"].to_numpy(), reach)
-        return pd.DataFrame({"q": wanted["q"], "ids": [i for i, _ in found], "scores": [s for _, s in found]})
+        part = int(key[0]) * blocks + int(key[1])
+        return pd.DataFrame({"q": wanted["q"], "part": part, "ids": [i for i, _ in found], "scores": [s for _, s in found]})
 
-    lists = (
-        placed.select("curve", "block", "c", "v").groupBy("curve", "block")
-        .cogroup(queries.groupBy("on_curve", "at_block"))
-        .applyInPandas(compare, "q long, ids array<long>, scores array<double>")
+    merged = (
+        sides.groupBy("curve", "block", "for_chunk")
+        .cogroup(queries.groupBy("on_curve", "at_block", "in_chunk"))
+        .applyInPandas(compare, list_schema)
     )
 
-    def merge(found: pd.DataFrame) -> pd.DataFrame:
+    def merge(key: tuple, found: pd.DataFrame) -> pd.DataFrame:
         ids, scores = np.concatenate(list(found["ids"])), np.concatenate(list(found["scores"]))
         ids, at = np.unique(ids, return_index=True)  # curves find one vector again and again
         order = np.lexsort((ids, -scores[at]))[:reach]
-        return pd.DataFrame({"q": found["q"].iloc[:1].tolist(), "ids": [ids[order]], "scores": [scores[at][order]]})
+        return pd.DataFrame({"q": [key[0]], "part": [key[1]], "ids": [ids[order]], "scores": [scores[at][order]]})
 
     # a query has one list for each of the blocks in its windows
-    merged = lists.groupBy("q").applyInPandas(merge, "q long, ids array<long>, scores array<double>")
+    parts_left = len(axes) * blocks
+    while parts_left > 0:
+        merged = merged.withColumn("part", F.expr(f"part div {LISTS_AT_ONCE}")).groupBy("q", "part").applyInPandas(merge, list_schema)
+        parts_left = -(-parts_left // LISTS_AT_ONCE) if parts_left > LISTS_AT_ONCE else 0
     near = _pairs(merged).select("q", "c", "score")
     members = classes.select(F.col("c").alias("_c"), F.explode("ids").alias("vec_id"))
     # of a class the smallest ids stand for all, as there are enough of them

@@ -132,6 +132,23 @@ def test_hilbert(spark):
     assert hilbert.search(df.limit(0), lambda i: i % 20 == 0).count() == 0
 
 
+def test_hilbert_tasks_hold_bounded_groups(spark, monkeypatch):
+    real, block = hilbert.best_of, 32
+
+    def bounded(queries, vectors, ids, k):
+        assert len(queries) <= block
+        return real(queries, vectors, ids, k)
+
+    monkeypatch.setattr(hilbert, "best_of", bounded)
+    monkeypatch.setattr(hilbert, "LISTS_AT_ONCE", 3)
+    vectors = np.random.default_rng(2).standard_normal((300, 8))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    got = hilbert.search(df, lambda i: i % 3 != 0, block=block, target=1.0, calibration=block, k=5).collect()
+    truth = {q: sorted((-(vectors[q] * vectors[c]).sum(), c) for c in range(300) if c != q)[:5] for q in range(300) if q % 3}
+    hit = sum(r["vec_id"] in {c for _, c in truth[r["query_id"]]} for r in got)
+    assert len(got) == 5 * len(truth) and hit >= 0.95 * len(got)
+
+
 def test_hilbert_index_is_a_curve():
     cells = np.stack(np.meshgrid(*[np.arange(8)] * 3, indexing="ij"), -1).reshape(-1, 3)
     order = cells[np.argsort(hilbert.hilbert_index(cells, 3))]
