@@ -109,12 +109,18 @@ def _matrix(column: pa.Array) -> np.ndarray:
 def best_of(queries: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """For each query (ids, scores) of the ``k`` best vectors, best first, ties to the smaller id."""
     out = []
-    spare = min(len(vectors), k + 8)  # the product's rounding may swap scores that are nearly equal
+    longest = np.sqrt((vectors**2).sum(axis=1).max(initial=0))
     for lo in range(0, len(queries), 256):
         q = queries[lo : lo + 256]
         rough = q @ vectors.T
-        near = np.argpartition(-rough, spare - 1, axis=1)[:, :spare] if spare < len(vectors) else np.tile(np.arange(len(vectors)), (len(q), 1))
-        for row, at in zip(q, near):
+        if k < len(vectors):
+            # all that tie with the kth; the product's rounding may swap scores that are nearly equal
+            margin = 4 * vectors.shape[1] * np.finfo(np.float64).eps * longest * np.sqrt((q**2).sum(axis=1))
+            least = np.partition(rough, len(vectors) - k, axis=1)[:, len(vectors) - k] - margin
+        else:
+            least = np.full(len(q), -np.inf)
+        for row, near in zip(q, ~(rough < least[:, None])):
+            at = np.flatnonzero(near)
             scores = (vectors[at] * row).sum(axis=1)
             order = np.lexsort((ids[at], -scores))[:k]
             out.append((ids[at][order], scores[order]))

@@ -149,6 +149,15 @@ def test_hilbert_tasks_hold_bounded_groups(spark, monkeypatch):
     assert len(got) == 5 * len(truth) and hit >= 0.95 * len(got)
 
 
+def test_hilbert_equal_scores_go_to_the_smaller_id():
+    rng = np.random.default_rng(3)
+    vectors, ids = rng.choice([-1.0, 1.0], (2_000, 32)), rng.permutation(2_000)
+    for k in (1, 21, 2_000, 3_000):
+        for q, (found, scores) in zip(vectors[:40], hilbert.best_of(vectors[:40], vectors, ids, k)):
+            truth = sorted(zip(-(vectors @ q), ids))[:k]
+            assert found.tolist() == [i for _, i in truth] and scores.tolist() == [-s for s, _ in truth]
+
+
 def test_hilbert_index_is_a_curve():
     cells = np.stack(np.meshgrid(*[np.arange(8)] * 3, indexing="ij"), -1).reshape(-1, 3)
     order = cells[np.argsort(hilbert.hilbert_index(cells, 3))]
