@@ -9,11 +9,13 @@ item are verified as one, so that the work is linear in a document's length
 whatever it repeats.
 
 Items go to blocks of bounded length; a block is broadcast and meets all
-documents, one pass for each block. An item shorter than ``LEAST`` characters is
-no evidence inside a text; it counts where it is all of a document.
+documents, one pass for each block. An item shorter than ``LEAST`` characters
+counts where it occurs exactly, from word boundary to word boundary; with fewer than
+``SHORT_WORDS`` words and ``SHORT_CHARS`` characters it is no evidence inside a text
+and counts only where it is all of a document.
 
 Results for odd input: null or empty items and documents match nothing; equal
-items each count under their own id; documents are read whole; repeated rows get
+items each count under their own id, and items without an id under null; documents are read whole; repeated rows get
 equal results; an empty table on either side gives no hits; a column named
 ``leaks`` is replaced.
 """
@@ -32,6 +34,7 @@ from salesmart.llm.common import staged
 
 RATE = 0.05
 LEAST = 32
+SHORT_WORDS, SHORT_CHARS = 4, 16
 #: Characters of the items that are broadcast at once (one longer item is a block of its own).
 BLOCK_CHARS = 2_000_000
 LEAK = "array<struct<item_id:bigint,end:bigint,distance:int>>"
@@ -75,14 +78,21 @@ def best_end(item: str, text: str, budget: int) -> tuple[int, int] | None:
     return found
 
 
-def matcher(items: list[tuple[int, str]], rate: float = RATE) -> Callable[[str], list[dict]]:
+def at_boundaries(text: str, start: int, end: int) -> bool:
+    """Whether ``text[start:end]`` cuts no word; scripts from U+2E80 on are written without blanks."""
+    return not any(
+        0 < at < len(text) and all(c.isalnum() and c < "\u2e80" for c in text[at - 1 : at + 1]) for at in (start, end)
+    )
+
+
+def matcher(items: list[tuple[int | None, str]], rate: float = RATE) -> Callable[[str], list[dict]]:
     """A function from a normalised document to its leaks of ``items`` (id, normalised text)."""
-    budgets = [int(len(t) * rate) for _, t in items]
+    budgets = [int(len(t) * rate) if len(t) >= LEAST else 0 for _, t in items]
     automaton = ahocorasick.Automaton()
     whole: dict[str, list[int]] = {}
     places: dict[str, list[tuple[int, int]]] = {}
     for k, (_, t) in enumerate(items):
-        if len(t) < LEAST:
+        if len(t) < min(LEAST, SHORT_CHARS) and len(t.split()) < SHORT_WORDS:
             whole.setdefault(t, []).append(k)
             continue
         for offset, piece in pieces(t, budgets[k]):
@@ -101,6 +111,10 @@ def matcher(items: list[tuple[int, str]], rate: float = RATE) -> Callable[[str],
         out = [{"item_id": items[k][0], "end": len(text), "distance": 0} for k in whole.get(text, ()) if text]
         for k, found in starts.items():
             item, budget = items[k][1], budgets[k]
+            if len(item) < LEAST:
+                ends = [s + len(item) for s in sorted(set(found)) if at_boundaries(text, s, s + len(item))]
+                out += [{"item_id": items[k][0], "end": e, "distance": 0} for e in ends[:1]]
+                continue
             best, lo, hi = None, None, None
             for s in [*sorted(set(found)), None]:
                 if lo is not None and (s is None or s - budget > hi):
@@ -113,21 +127,21 @@ def matcher(items: list[tuple[int, str]], rate: float = RATE) -> Callable[[str],
                     hi = min(len(text), s + len(item) + budget)
             if best is not None:
                 out.append({"item_id": items[k][0], "end": best[1], "distance": best[0]})
-        return sorted(out, key=lambda x: x["item_id"])
+        return sorted(out, key=lambda x: (x["item_id"] is None, x["item_id"] or 0))
 
     return match
 
 
 def item_blocks(benchmark: DataFrame, *, key: str = "item_id", text: str = "text", block_chars: int = BLOCK_CHARS):
     """Lists of (id, normalised text), each of about ``block_chars`` characters."""
-    given = benchmark.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(
+    given = benchmark.where(F.col(text).isNotNull()).select(
         F.col(key).cast("long").alias("id"), F.col(text).alias("text")
     )
     total = given.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, -(-total // block_chars))
     for b in range(blocks):
         mine = given.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == b) if blocks > 1 else given
-        items = sorted({(r["id"], normal(r["text"])) for r in mine.toLocalIterator()})
+        items = sorted({(r["id"], normal(r["text"])) for r in mine.toLocalIterator()}, key=lambda x: (x[0] is None, x[0] or 0, x[1]))
         yield [(i, t) for i, t in items if t]
 
 
