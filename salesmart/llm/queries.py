@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import bpe, decontamination, hilbert, licenses, mixing, partenum, secret_scan, sharding, toxicity, warc
+from salesmart.llm import bpe, codebooks, decontamination, hilbert, licenses, mixing, partenum, secret_scan, sharding, toxicity, warc
 from salesmart.session import work_dir
 
 #: Tokens beyond which a document counts as over the limit.
@@ -91,6 +91,14 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.page_captures(warc.assemble(warc.read_archives(spark, path, with_payload=False)))
 
 
+def op11_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = codebooks.compress(_table(spark, sf_dir, "embeddings"))
+    return coded.select(
+        "vec_id", F.lower(F.hex("codes")).alias("code"), "error", "label_error",
+        F.lit(books.digest() if books else None).cast("string").alias("codebooks_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
     "op2_partenum": op2_partenum,
@@ -102,4 +110,5 @@ QUERIES: dict[str, Query] = {
     "op8_sharding": op8_sharding,
     "op9_tokens": op9_tokens,
     "op10_warc": op10_warc,
+    "op11_codes": op11_codes,
 }
