@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import bpe, codebooks, decontamination, hilbert, licenses, mixing, partenum, secret_scan, sharding, toxicity, warc
+from salesmart.llm import (
+    bpe, codebooks, decontamination, hilbert, licenses, mixing, packing, partenum, secret_scan, sharding, spelling, toxicity, warc,
+)
 from salesmart.session import work_dir
 
 #: Tokens beyond which a document counts as over the limit.
@@ -99,6 +101,20 @@ def op11_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spelling.variants(_table(spark, sf_dir, "documents"))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op13_packing(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
+    if vocabulary is None:
+        import public_tokenizers
+
+        vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    packed = packing.pack(_table(spark, sf_dir, "documents"), vocabulary)
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
     "op2_partenum": op2_partenum,
@@ -111,4 +127,6 @@ QUERIES: dict[str, Query] = {
     "op9_tokens": op9_tokens,
     "op10_warc": op10_warc,
     "op11_codes": op11_codes,
+    "op12_spelling": op12_spelling,
+    "op13_packing": op13_packing,
 }
