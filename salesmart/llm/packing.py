@@ -27,6 +27,7 @@ import os
 import re
 import unicodedata
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 from itertools import chain, combinations
 
@@ -39,7 +40,7 @@ from salesmart.llm.common import staged
 
 CAPACITY, END_ID = 2048, 0
 #: Pieces of text that a worker remembers, and the longest of them.
-REMEMBERED, LONGEST = 500_000, 64
+REMEMBERED, LONGEST = 1_000_000, 64
 #: Code points of a text that are tokenised in one step, at least.
 STEP = 1 << 18
 #: Pieces that a group holds, groups that meet at the next level, sequences that each sends there.
@@ -52,6 +53,8 @@ PAIRED, PAIRS = 16, 256
 _WHITE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 # Contractions of the tokenizer's pattern.
 _CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
+# Bytes that byte-level vocabularies write as themselves; the others follow from U+0100 on.
+_PLAIN = [*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 
 
 def _ranges(marked: np.ndarray) -> str:
@@ -60,19 +63,24 @@ def _ranges(marked: np.ndarray) -> str:
     return "".join(f"{re.escape(chr(a))}-{re.escape(chr(b - 1))}" for a, b in edges.reshape(-1, 2).tolist())
 
 
-def _patterns() -> tuple[re.Pattern, re.Pattern, re.Pattern, re.Pattern]:
-    """Pieces of a lower-cased ASCII text, of any text; white space; code points without a known class."""
+def _patterns() -> tuple[dict[str, re.Pattern], dict[str, re.Pattern], re.Pattern]:
+    """Pieces of a lower-cased text and code points without a known class, by the text's reach; white space.
+
+    Reach is ascii, bmp (two bytes a code point) or any: a class with ranges beyond
+    the first plane makes every test of it slow.
+    """
     kinds = [unicodedata.category(chr(c)) for c in range(0x110000)]
     first = np.array([k[0] for k in kinds])
-    letters, numbers = _ranges(first == "L"), _ranges(first == "N")
-    unknown = _ranges(np.array([k == "Cn" for k in kinds]))
+    unknown = np.array([k == "Cn" for k in kinds])
     white = "".join(map(chr, _WHITE))
-    return (
-        re.compile(rf"{_CONTRACTIONS}|[a-z]+|[0-9]|[^a-z0-9\t-\r ]+"),
-        re.compile(rf"{_CONTRACTIONS}|[{letters}]+|[{numbers}]|[^{white}{letters}{numbers}]+"),
-        re.compile(f"[{white}]"),
-        re.compile(f"[{unknown}]"),
-    )
+    pieces, odd = {}, {"ascii": re.compile("(?!)")}
+    for reach, end in (("ascii", 0x80), ("bmp", 0x10000), ("any", 0x110000)):
+        letters, numbers = _ranges(first[:end] == "L"), _ranges(first[:end] == "N")
+        blank = white if end > 0x80 else "\t-\r "
+        pieces[reach] = re.compile(rf"[{letters}]+|{_CONTRACTIONS}|[{numbers}]|[^{blank}{letters}{numbers}]+")
+        if end > 0x80:
+            odd[reach] = re.compile(f"[{_ranges(unknown[:end])}]")
+    return pieces, odd, re.compile(f"[{white}]")
 
 
 def steps_of(text: str, white: re.Pattern, step: int = STEP) -> Iterator[str]:
@@ -96,25 +104,32 @@ def identifiers(tokenizer: str) -> Callable[[str], Iterator[bytes]]:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    spec = json.loads(tokenizer)
-    special = [t["content"] for t in spec["added_tokens"]]
+    special = [t["content"] for t in json.loads(tokenizer)["added_tokens"]]
     whole = Tokenizer.from_str(tokenizer)
-    pieces = Tokenizer.from_str(json.dumps(spec | {"normalizer": None, "added_tokens": []}))
-    ascii_pieces, any_pieces, white, unknown = _patterns()
+    model = whole.model
+    pieces, odd, white = _patterns()
+    spare = (b for b in range(256) if b not in set(_PLAIN))
+    written = {b: chr(b) for b in _PLAIN} | {b: chr(256 + i) for i, b in enumerate(spare)}
     known: dict[str, bytes] = {}
 
     def by_library(text: str) -> bytes:
-        return np.array(whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return array("I", whole.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def merged(piece: str) -> bytes:
+        if not piece.isascii() or not piece.isprintable():
+            piece = "".join([written[b] for b in piece.encode("utf-8", "surrogatepass")])
+        return array("I", [t.id for t in model.tokenize(piece)]).tobytes()
 
     def step(text: str) -> bytes:
         if any(s in text for s in special):
             return by_library(text)
         if text.isascii():
-            parts = ascii_pieces.findall(text.lower())
+            reach, text_low = "ascii", text.lower()
         else:
             # lower-casing goes code point by code point: no final sigma
-            text_nfc = unicodedata.normalize("NFC", text)
-            parts = any_pieces.findall(text_nfc.replace("Σ", "σ").lower())
+            text_low = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+            reach = "bmp" if len(text_low.encode("utf-16-le", "surrogatepass")) == 2 * len(text_low) else "any"
+        parts = pieces[reach].findall(text_low)
         try:
             return b"".join([known[p] for p in parts])
         except KeyError:
@@ -122,10 +137,9 @@ def identifiers(tokenizer: str) -> Callable[[str], Iterator[bytes]]:
         if len(known) > REMEMBERED:
             known.clear()
         new = [p for p in dict.fromkeys(parts) if p not in known]
-        if any(unknown.search(p) for p in new):
+        if reach != "ascii" and any(odd[reach].search(p) for p in new if not p.isascii()):
             return by_library(text)
-        for p, e in zip(new, pieces.encode_batch_fast(new, add_special_tokens=False)):
-            known[p] = np.array(e.ids, "<u4").tobytes()
+        known.update((p, merged(p)) for p in new)
         out = b"".join([known[p] for p in parts])
         for p in new:
             if len(p) > LONGEST:
