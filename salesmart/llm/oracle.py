@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from salesmart.llm.codebooks import ENTRIES, PARTS, ROUNDS, SCALE
 from salesmart.llm.licenses import BLOCK, CONTAINMENT, PHRASE_ONLY_SCORE, PHRASES, STEP, TEMPLATES
 from salesmart.llm.mixing import MAX_EPOCHS, SEED
 
@@ -92,4 +93,37 @@ SELECT page_id, n AS payload_bytes, p.digest AS payload_digest,
 FROM p LEFT JOIN f ON p.digest = f.digest
 """
 
-ORACLE = {"op1_mixing": OP1, "op6_licenses": _op6(), "op10_warc": OP10}
+def _op11(parts: int = PARTS, entries: int = ENTRIES, rounds: int = ROUNDS, scale: int = SCALE) -> str:
+    """Plain Lloyd rounds, one full scan each; vectors of one length, ids once each."""
+    steps = []
+    for t in range(rounds + 1):
+        steps.append(f"""
+a{t} AS MATERIALIZED (
+  SELECT r, p, min({{'d': list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT, 'e': e}}) AS m
+  FROM parts JOIN c{t} USING (p) GROUP BY r, p)""")
+        if t < rounds:
+            steps.append(f"""
+u{t} AS (
+  SELECT p, e, list(s ORDER BY i) AS n FROM (
+    SELECT p, m.e AS e, i, ((sum(x[i]) - (((sum(x[i]) % count(*)) + count(*)) % count(*))) // count(*))::BIGINT AS s
+    FROM a{t} JOIN parts USING (r, p), places GROUP BY p, m.e, i) GROUP BY p, e),
+c{t+1} AS MATERIALIZED (SELECT p, e, coalesce(n, c) AS c FROM c{t} LEFT JOIN u{t} USING (p, e))""")
+    return f"""
+WITH kept AS (
+  SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label, list_transform(embedding, lambda x: floor(x::DOUBLE * {scale})::BIGINT) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+parts AS MATERIALIZED (
+  SELECT r, p, v[p * (len(v) // {parts}) + 1 : (p + 1) * (len(v) // {parts})] AS x FROM kept, (SELECT unnest(range({parts})) AS p)),
+places AS (SELECT unnest(range(1, (SELECT max(len(x)) FROM parts) + 1)) AS i),
+c0 AS MATERIALIZED (SELECT p, r - 1 AS e, x AS c FROM parts WHERE r <= {entries}),{",".join(steps)},
+coded AS (
+  SELECT r, string_agg(printf('%02x', m.e), '' ORDER BY p) AS code, sum(m.d)::BIGINT AS error FROM a{rounds} GROUP BY r),
+books AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM c{rounds})
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256
+FROM kept JOIN coded USING (r), books
+"""
+
+
+ORACLE = {"op1_mixing": OP1, "op6_licenses": _op6(), "op10_warc": OP10, "op11_codes": _op11()}
