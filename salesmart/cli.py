@@ -1,6 +1,6 @@
 """Command line: run the job, run it incrementally, or generate landed sales / customer files.
 
-    python -m salesmart run --landing L --out O --customer C --store S --sales-team T [--product P]
+    python -m salesmart run --landing L --out O --customer C --store S --sales-team T [--product P] [--mart-tables]
     python -m salesmart stream --landing L --out O --checkpoint K ... [--archive A] [--max-files N]
     python -m salesmart generate-sales --out O --rows N [--layout base|extra|missing] [--day D | --start D --end D]
     python -m salesmart generate-customers --out O --rows N
@@ -18,15 +18,25 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 
 
+def _jdbc_properties(args) -> dict[str, str]:
+    given = {"user": args.jdbc_user, "password": args.jdbc_password, "driver": args.jdbc_driver}
+    return {k: v for k, v in given.items() if v}
+
+
+def _table_options(args) -> dict | None:
+    """K4 — where the aggregate marts go besides their files."""
+    if args.mart_jdbc_url:
+        return {"url": args.mart_jdbc_url, "properties": _jdbc_properties(args)}
+    return {} if args.mart_tables else None
+
+
 def load_dimension(spark: SparkSession, spec: str, args) -> DataFrame:
     from salesmart.sources.tables import read_table
 
     if spec.startswith("table:"):
         return spark.table(spec[len("table:"):])
     if args.jdbc_url:
-        props = {k: v for k, v in {"user": args.jdbc_user, "password": args.jdbc_password,
-                                   "driver": args.jdbc_driver}.items() if v}
-        return read_table(spark, spec, url=args.jdbc_url, properties=props)
+        return read_table(spark, spec, url=args.jdbc_url, properties=_jdbc_properties(args))
     return spark.read.parquet(spec)
 
 
@@ -45,7 +55,6 @@ def _add_dims(p: argparse.ArgumentParser) -> None:
     p.add_argument("--customer", required=True)
     p.add_argument("--store", required=True)
     p.add_argument("--sales-team", required=True, dest="sales_team")
-    p.add_argument("--product")
     p.add_argument("--jdbc-url", dest="jdbc_url")
     p.add_argument("--jdbc-user", dest="jdbc_user")
     p.add_argument("--jdbc-password", dest="jdbc_password")
@@ -64,6 +73,12 @@ def parser() -> argparse.ArgumentParser:
     _add_dims(run)
     run.add_argument("--ledger")
     run.add_argument("--strict", action="store_true", help="refuse to run while a previous run is unfinished")
+    run.add_argument("--product")
+    run.add_argument("--takeover", action="store_true", help="pass over the claim of a job that was killed")
+    run.add_argument("--split-files", action="store_true", help="split large CSV files; quoted cells hold no line breaks")
+    marts = run.add_mutually_exclusive_group()
+    marts.add_argument("--mart-tables", action="store_true", help="write the aggregate marts to catalog tables as well")
+    marts.add_argument("--mart-jdbc-url", help="write the aggregate marts over JDBC as well (user, password, driver as above)")
 
     st = sub.add_parser("stream", help="process newly landed files incrementally")
     _add_dims(st)
@@ -99,10 +114,13 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         customer, store, team, product = _dims(spark, args)
         res = run_pipeline(
             spark, args.landing, args.out, customer, store, team, product=product, ledger_path=args.ledger,
-            how=args.how, scope=args.scope, ties=args.ties, strict=args.strict,
+            how=args.how, scope=args.scope, ties=args.ties, strict=args.strict, takeover=args.takeover,
+            multi_line=not args.split_files, table_options=_table_options(args),
         )
-        report = {"pending_before": res.pending_before, "accepted_files": res.accepted_files,
-                  "rejected_files": res.rejected_files, "snapshot_version": res.snapshot_version,
+        report = {"run_id": res.run_id, "pending_before": res.pending_before, "accepted_files": res.accepted_files,
+                  "rejected_files": res.rejected_files, "retracted_files": res.retracted_files,
+                  "landed_lines": res.landed_lines, "accepted_lines": res.accepted_lines,
+                  "rejected_lines": res.rejected_lines, "snapshot_version": res.snapshot_version,
                   "paths": res.paths, "timings": res.timings}
     elif args.cmd == "stream":
         from salesmart.streaming.landing import process_landing_stream

@@ -65,7 +65,8 @@ def strip_prefix(col: Column | str, prefix: str) -> Column:
 
 def normalise_path(col: Column | str) -> Column:
     """One spelling for file URIs: ``file:/x``, ``file:///x`` -> ``file:/x``; percent-decoded."""
-    return F.url_decode(F.regexp_replace(_c(col), r"^file:/+", "file:/"))
+    plain = F.replace(F.regexp_replace(_c(col), r"^file:/+", "file:/"), F.lit("+"), F.lit("%2B"))
+    return F.url_decode(plain)
 
 
 def ts_literal(ts: str | _dt.datetime | _dt.date | Column) -> Column:

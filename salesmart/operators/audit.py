@@ -26,6 +26,12 @@ def _modified(df: DataFrame) -> F.Column:
     return c.cast("bigint").alias("file_modified_ms")
 
 
+def _size(df: DataFrame) -> F.Column:
+    """The file's size in bytes, null when unknown."""
+    c = F.col("file_size") if "file_size" in df.columns else F.lit(None)
+    return c.cast("bigint").alias("file_size")
+
+
 def audit_headers(headers: DataFrame) -> DataFrame:
     """Per-file verdict: ``missing``, ``extra``, ``accepted``, ``reason``."""
     cols = F.col("columns")
@@ -34,6 +40,7 @@ def audit_headers(headers: DataFrame) -> DataFrame:
         "path",
         "file_name",
         _modified(headers),
+        _size(headers),
         "header",
         "columns",
         missing.alias("missing"),
@@ -51,6 +58,7 @@ def reject_non_csv(others: DataFrame) -> DataFrame:
         "path",
         "file_name",
         _modified(others),
+        _size(others),
         F.lit(None).cast("string").alias("header"),
         F.array().cast("array<string>").alias("columns"),
         F.array().cast("array<string>").alias("missing"),

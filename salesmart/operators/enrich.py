@@ -15,8 +15,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from salesmart.schema import ADDITIONAL_COLUMN, MANDATORY_COLUMNS
 from salesmart.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, broadcast_all_bounded, broadcast_if_bounded
 
+FACT_COLUMNS = (*MANDATORY_COLUMNS, ADDITIONAL_COLUMN)
 CUSTOMER_ATTRS = ["first_name", "last_name", "address", "pincode", "phone_number", "customer_joining_date"]
 STORE_ATTRS = ["store_address", "store_pincode", "store_manager_name", "store_opening_date", "store_reviews"]
 SALES_TEAM_ATTRS = [
@@ -90,3 +92,42 @@ def enrich_product(
         broadcast_max_rows,
     )
     return fact.join(pr, "product_name", how).select(*fact.columns, "current_price", "expiry_date")
+
+
+def enrich_lines(
+    lines: DataFrame,
+    customer: DataFrame,
+    store: DataFrame,
+    sales_team: DataFrame,
+    product: DataFrame | None = None,
+    how: str = "inner",
+    broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS,
+) -> DataFrame:
+    """J1–J4 over ``ingest.checked_lines``: no line is dropped, ``reason`` names the dimension that lacks its row.
+
+    ``how="left"`` keeps such sales as accepted, as ``enrich`` does.  Dimension
+    attributes that no mart reads are not carried.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError("how must be 'inner' or 'left'")
+    dims = {
+        "sales_team": ("sales_person_id", sales_team_dim(sales_team).drop("sales_person_joining_date")),
+        "store": ("store_id", store_dim(store).select("store_id", "store_manager_name")),
+        "customer": ("customer_id", customer_dim(customer).drop("customer_joining_date")),
+    }
+    if product is not None:
+        dims["product"] = (
+            "product_name",
+            product.select(F.col("name").alias("product_name"), "current_price", "expiry_date"),
+        )
+    hinted = broadcast_all_bounded([d for _, d in dims.values()], broadcast_max_rows)
+    joined, unmatched = lines, []
+    for (name, (key, _)), dim in zip(dims.items(), hinted):
+        joined = joined.join(dim.withColumn(f"_in_{name}", F.lit(True)), key, "left")
+        unmatched.append(F.when(F.col(f"_in_{name}").isNull(), F.lit(f"no_{name}")))
+    attrs = [c for _, d in dims.values() for c in d.columns if c not in lines.columns]
+    same = [c for c in lines.columns if c not in ("reason", "line")]
+    reason = F.coalesce("reason", *unmatched) if how == "inner" else F.col("reason")
+    told = F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in lines.columns if c in FACT_COLUMNS])
+    checked = joined.select(*same, *attrs, reason.alias("reason"), "line")
+    return checked.withColumn("line", F.when(F.col("reason").isNotNull(), F.coalesce("line", told)))

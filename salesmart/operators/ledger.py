@@ -16,7 +16,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesmart.functions.columns import ts_literal
-from salesmart.schema import LEDGER_FILE_SCHEMA, LEDGER_SCHEMA, STATUS_FINISHED, STATUS_STARTED
+from salesmart.schema import (
+    LEDGER_FILE_SCHEMA,
+    LEDGER_SCHEMA,
+    STATUS_FINISHED,
+    STATUS_REJECTED,
+    STATUS_STARTED,
+)
 
 
 def _location(files: DataFrame) -> F.Column:
@@ -40,14 +46,18 @@ def ledger_start(files: DataFrame, ts) -> DataFrame:
     )
 
 
-def ledger_finish(batch: DataFrame, ts) -> DataFrame:
-    """L2 — one ``I`` event per file of the batch, stamped with the *end* time."""
+def ledger_finish(batch: DataFrame, ts, status: str = STATUS_FINISHED) -> DataFrame:
+    """L2 — one event per file of the batch, stamped with the *end* time.
+
+    ``status`` is ``I`` for files whose sales are in the marts, ``E`` for files that
+    the audit rejected, ``R`` for versions that a newer one replaces.
+    """
     return batch.select(
         "file_name",
         _location(batch).alias("file_location"),
         F.lit(None).cast("timestamp_ntz").alias("created_date"),
         ts_literal(ts).alias("updated_date"),
-        F.lit(STATUS_FINISHED).alias("status"),
+        F.lit(status).alias("status"),
         _modified(batch),
     )
 
@@ -56,11 +66,11 @@ def ledger_current(ledger: DataFrame) -> DataFrame:
     """L4 — latest status per landed file version (path + modification time).
 
     First start and last finish times; events at the same instant order ``A``
-    before ``I``.
+    before all others.
     """
     order = F.struct(
         F.coalesce("updated_date", "created_date").alias("t"),
-        (F.col("status") == F.lit(STATUS_FINISHED)).alias("fin"),
+        (F.col("status") != F.lit(STATUS_STARTED)).alias("fin"),
     )
     return ledger.select(*LEDGER_SCHEMA.fieldNames()).groupBy(
         "file_name", "file_location", "file_modified_ms"
@@ -79,10 +89,10 @@ def _same_file(files: DataFrame, states: DataFrame) -> list[F.Column]:
     ]
 
 
-def _states(ledger: DataFrame, status: str) -> DataFrame:
+def _states(ledger: DataFrame, *status: str) -> DataFrame:
     return (
         ledger_current(ledger)
-        .where(F.col("status") == F.lit(status))
+        .where(F.col("status").isin(*status))
         .select(F.col("file_location").alias("_s_path"), F.col("file_modified_ms").alias("_s_mod"))
     )
 
@@ -95,20 +105,37 @@ def ledger_pending(files: DataFrame, ledger: DataFrame) -> DataFrame:
 
 
 def unprocessed(files: DataFrame, ledger: DataFrame) -> DataFrame:
-    """K8 — landed files (versions) not currently finished: the re-aimed "processed" archive."""
+    """K8 — landed files (versions) neither finished nor rejected: the re-aimed "processed" and "error" moves."""
     f = files.withColumn("_f_path", _location(files)).withColumn("_f_mod", _modified(files))
-    done = _states(ledger, STATUS_FINISHED)
+    done = _states(ledger, STATUS_FINISHED, STATUS_REJECTED)
     return f.join(done, _same_file(f, done), "left_anti").drop("_f_path", "_f_mod")
 
 
+def superseded(accepted: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Finished versions that another version of the same path among ``accepted`` replaces.
+
+    ``file_name``, ``file_location``, ``file_modified_ms`` of the old versions; their
+    sales leave the marts with the run that brings the new version.
+    """
+    new = accepted.select(_location(accepted).alias("_n_path"), _modified(accepted).alias("_n_mod"))
+    old = ledger_current(ledger).where(F.col("status") == F.lit(STATUS_FINISHED))
+    replaced = (old["file_location"] == new["_n_path"]) & ~old["file_modified_ms"].eqNullSafe(new["_n_mod"])
+    return old.join(new, replaced, "left_semi").select("file_name", "file_location", "file_modified_ms")
+
+
+def finished_runs(ledger: DataFrame) -> DataFrame:
+    """``run_id`` of every run that came to its end: only their parts of the marts count."""
+    ended = F.col("status").isin(STATUS_FINISHED, STATUS_REJECTED)
+    return ledger.where(ended & F.col("run_id").isNotNull()).select("run_id").distinct()
+
+
 def next_run(ledger: DataFrame) -> int:
     """Number of the next run: one above the last finished one.
 
     A run that died has no finish events, so its successor takes its number and
     replaces what it left.
     """
-    finished = ledger.where(F.col("status") == F.lit(STATUS_FINISHED))
-    return (finished.agg(F.max("run_id")).first()[0] or 0) + 1
+    return (finished_runs(ledger).agg(F.max("run_id")).first()[0] or 0) + 1
 
 
 def append_ledger(events: DataFrame, path: str, run_id: int | None = None) -> str:

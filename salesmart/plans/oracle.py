@@ -170,8 +170,8 @@ FROM lay l JOIN (VALUES
         ),
         "ingested_sales": _q(
             """
-SELECT CAST(customer_id AS INTEGER) AS customer_id, store_id, product_name, sales_date,
-       CAST(sales_person_id AS INTEGER) AS sales_person_id, price, quantity, total_cost,
+SELECT CAST(customer_id AS BIGINT) AS customer_id, CAST(store_id AS BIGINT) AS store_id, product_name, sales_date,
+       CAST(sales_person_id AS BIGINT) AS sales_person_id, price, quantity, total_cost,
        CASE WHEN _line BETWEEN 4 AND 5 THEN CASE WHEN quantity % 2 = 0 THEN 'cash' ELSE 'UPI' END END
          AS additional_column
 FROM fact WHERE _line BETWEEN 1 AND 5"""
@@ -263,10 +263,10 @@ WHERE NOT EXISTS (SELECT 1 FROM cur c WHERE c.file_name = f.file_name AND c.stat
 # ---------------------------------------------------------------- whole job (accepted layouts only)
 ACCEPTED_STM = """
 , acc AS (
-  SELECT CAST(e.store_id AS INTEGER) AS store_id, CAST(e.sales_person_id AS INTEGER) AS sales_person_id,
+  SELECT CAST(e.store_id AS BIGINT) AS store_id, CAST(e.sales_person_id AS BIGINT) AS sales_person_id,
          e.sales_person_first_name || ' ' || e.sales_person_last_name AS full_name,
          strftime(e.sales_date, '%Y-%m') AS sales_month, e.total_cost,
-         CAST(e.customer_id AS INTEGER) AS customer_id, e.first_name, e.last_name, e.address,
+         CAST(e.customer_id AS BIGINT) AS customer_id, e.first_name, e.last_name, e.address,
          e.phone_number, e.sales_date
   FROM enr e WHERE e._line BETWEEN 1 AND 5
 ),
@@ -296,3 +296,63 @@ FROM acc GROUP BY 1, 2, 3, 4, 5"""
 )
 
 ORACLE["streaming_sales_team_mart"] = ORACLE["pipeline_sales_team_mart"]
+
+# ---------------------------------------------------------------- corrected files, rejected lines
+CORRECTED = """
+, fixed AS (
+  SELECT sales_person_id, store_id, full_name, store_id AS _s,
+         CASE WHEN old AND customer_id % 7 = 0 THEN sales_date + 31 ELSE sales_date END AS sales_date,
+         CASE WHEN old AND customer_id % 2 = 0 THEN CAST(total_cost * 2 AS DECIMAL(10,2)) ELSE total_cost END AS total_cost
+  FROM (SELECT customer_id, CAST(store_id AS BIGINT) AS store_id, CAST(sales_person_id AS BIGINT) AS sales_person_id,
+               sales_person_first_name || ' ' || sales_person_last_name AS full_name, sales_date, total_cost,
+               year(sales_date) = 1996 AS old
+        FROM enr) e
+  WHERE NOT (old AND sales_person_id % 3 = 0)
+),
+ftm AS (
+  SELECT store_id, sales_person_id, full_name, strftime(sales_date, '%Y-%m') AS sales_month, SUM(total_cost) AS ts
+  FROM fixed GROUP BY 1, 2, 3, 4
+)"""
+
+ORACLE.update(
+    {
+        "pipeline_corrected_file_sales_team_mart": _q(
+            CORRECTED
+            + """
+SELECT store_id, sales_person_id, full_name, sales_month, CAST(ts AS DECIMAL(10,2)) AS total_sales,
+       CAST(CASE WHEN rank() OVER (PARTITION BY store_id, sales_month ORDER BY ts DESC) = 1
+                 THEN ts * 0.01 ELSE 0 END AS DECIMAL(10,2)) AS incentive
+FROM ftm"""
+        ),
+        "corrected_file_snapshots": _q(
+            CORRECTED
+            + """
+SELECT 'first' AS publication, strftime(sales_date, '%Y-%m') AS sales_month, COUNT(*) AS n_sales,
+       CAST(SUM(total_cost) AS DECIMAL(20,2)) AS total_cost FROM enr GROUP BY 2
+UNION ALL
+SELECT 'newest', strftime(sales_date, '%Y-%m'), COUNT(*), CAST(SUM(total_cost) AS DECIMAL(20,2)) FROM fixed GROUP BY 2"""
+        ),
+        "rejected_rows": _q(
+            """
+SELECT CASE WHEN customer_id % 13 = 0 THEN 'malformed_line'
+            WHEN customer_id % 11 = 0 THEN 'bad_cell:quantity'
+            WHEN sales_person_id % 17 = 0 THEN 'no_sales_team'
+            WHEN store_id % 19 = 0 THEN 'no_store'
+            WHEN customer_id % 7 = 0 THEN 'no_customer'
+            ELSE 'accepted' END AS reason,
+       COUNT(*) AS n_lines, COUNT(DISTINCT sales_person_id) AS n_sellers
+FROM fact GROUP BY 1"""
+        ),
+        "seeded_sales_fact": ORACLE["sales_fact"],
+        "line_totals": _q(
+            """
+SELECT customer_id, store_id, product_name, sales_date, price, quantity,
+       CAST(price * quantity AS DECIMAL(10,2)) AS line_total FROM fact"""
+        ),
+        "sales_preview": _q(
+            f"""
+SELECT {FACT_COLS} FROM fact
+ORDER BY total_cost DESC, customer_id, store_id, product_name, sales_date, sales_person_id, price, quantity LIMIT 20"""
+        ),
+    }
+)

@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from salesmart.functions.columns import line_total
 from salesmart.operators import enrich as E
 from salesmart.operators import marts as M
 from salesmart.sources import testdata as TD
@@ -64,8 +65,17 @@ def product_enriched_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.enrich_product(TD.sales_fact(spark, sf_dir), TD.products(spark, sf_dir))
 
 
+def line_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P12 over the whole fact."""
+    total = line_total("price", "quantity").alias("line_total")
+    return TD.sales_fact(spark, sf_dir).select(
+        "customer_id", "store_id", "product_name", "sales_date", "price", "quantity", total
+    )
+
+
 QUERIES: dict[str, Query] = {
     "sales_fact": sales_fact,
+    "line_totals": line_totals,
     "enriched_sales": enriched_sales,
     "customer_mart_detail": customer_mart_detail,
     "sales_team_mart_detail": sales_team_mart_detail,
@@ -163,6 +173,18 @@ def latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return PQ.latest_snapshot(spark, prefix)
 
 
+def seeded_sales_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S6 + U1 — the fact on the typed empty seed."""
+    return ST.empty_sales(spark).unionByName(TD.sales_fact(spark, sf_dir))
+
+
+def sales_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K6/T2 — the 20 largest sales (the limit is the feature)."""
+    fact = TD.sales_fact(spark, sf_dir)
+    order = ["customer_id", "store_id", "product_name", "sales_date", "sales_person_id", "price", "quantity"]
+    return PQ.preview(fact.orderBy(F.desc("total_cost"), *order))
+
+
 def monthly_billing_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = M.monthly_billing_report(sales_team_month_mart(spark, sf_dir))
     path = RP.write_monthly_report(report, work_dir(spark, "monthly_report"))
@@ -185,6 +207,8 @@ QUERIES.update(
         "flat_mart_roundtrip": flat_mart_roundtrip,
         "partitioned_mart_pruned": partitioned_mart_pruned,
         "latest_snapshot": latest_snapshot,
+        "seeded_sales_fact": seeded_sales_fact,
+        "sales_preview": sales_preview,
         "monthly_billing_report": monthly_billing_report,
         "sales_team_mart_table": sales_team_mart_table,
     }
@@ -242,7 +266,8 @@ QUERIES.update(
 )
 
 # ---------------------------------------------------------------- whole job
-from salesmart.plans.pipeline import run_pipeline  # noqa: E402
+from salesmart.plans.pipeline import read_snapshot, run_pipeline  # noqa: E402
+from salesmart.schema import MANDATORY_COLUMNS  # noqa: E402
 
 
 def _pipeline(spark: SparkSession, sf_dir: str):
@@ -267,10 +292,60 @@ def pipeline_customer_month_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(res.paths["customers_data_mart"])
 
 
+def _corrected_job(spark: SparkSession, sf_dir: str, outputs: set[str]):
+    """All sales land by month and run; the files of 1996 land again, corrected; a second run."""
+    wd = work_dir(spark, "corrected")
+    fact = TD.sales_fact(spark, sf_dir)
+    dims = TD.customers(spark, sf_dir), TD.stores(spark, sf_dir), TD.sales_team(spark, sf_dir)
+    root = TD.land_by_month(fact, f"{wd}/landing")
+    first = run_pipeline(spark, root, f"{wd}/out", *dims, outputs=outputs)
+    edition = TD.corrected(fact.where(F.year("sales_date") == 1996))
+    TD.reland_months(spark, edition, root, f"{wd}/edition")
+    return first, run_pipeline(spark, root, f"{wd}/out", *dims, outputs=outputs)
+
+
+def pipeline_corrected_file_sales_team_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, second = _corrected_job(spark, sf_dir, {"sales_team_month_mart"})
+    return spark.read.parquet(second.paths["sales_team_month_mart"])
+
+
+def corrected_file_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both publications of a corrected landing: the first as it was, the newest with the new editions."""
+    first, second = _corrected_job(spark, sf_dir, {"snapshots"})
+
+    def months(label: str, version: int) -> DataFrame:
+        rows = read_snapshot(spark, second.out, version).groupBy("sales_month")
+        summed = rows.agg(F.count("*").alias("n_sales"), F.sum("total_cost").cast("decimal(20,2)").alias("total_cost"))
+        return summed.select(F.lit(label).alias("publication"), "*")
+
+    return months("first", first.snapshot_version).unionByName(months("newest", second.snapshot_version))
+
+
+def rejected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What became of every landed line: accepted, or rejected with a reason."""
+    wd = work_dir(spark, "faulty")
+    fact = TD.sales_fact(spark, sf_dir)
+    customers = TD.customers(spark, sf_dir).where(F.col("customer_id") % 7 != 0)
+    stores = TD.stores(spark, sf_dir).where(F.col("id") % 19 != 0)
+    team = TD.sales_team(spark, sf_dir).where(F.col("id") % 17 != 0)
+    res = run_pipeline(
+        spark, TD.land_faulty(fact, f"{wd}/landing"), f"{wd}/out", customers, stores, team, outputs={"sales_team_month_mart"}
+    )
+    kept = spark.read.parquet(res.paths["enriched"]).select(F.lit("accepted").alias("reason"), "sales_person_id")
+    seller = F.split("line", ",")[MANDATORY_COLUMNS.index("sales_person_id")].cast("bigint")
+    told = spark.read.parquet(res.paths["rejected_rows"]).select("reason", seller.alias("sales_person_id"))
+    return kept.unionByName(told).groupBy("reason").agg(
+        F.count("*").alias("n_lines"), F.count_distinct("sales_person_id").alias("n_sellers")
+    )
+
+
 QUERIES.update(
     {
         "pipeline_sales_team_mart": pipeline_sales_team_mart,
         "pipeline_customer_month_mart": pipeline_customer_month_mart,
+        "pipeline_corrected_file_sales_team_mart": pipeline_corrected_file_sales_team_mart,
+        "corrected_file_snapshots": corrected_file_snapshots,
+        "rejected_rows": rejected_rows,
     }
 )
 

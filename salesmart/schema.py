@@ -26,16 +26,19 @@ EXTRA_SEPARATOR = ", "
 # --- fixed values: ledger status codes (A = started, I = finished) ---
 STATUS_STARTED = "A"
 STATUS_FINISHED = "I"
+# Statuses of this package: E = rejected by the audit, R = replaced by a newer version of the file.
+STATUS_REJECTED = "E"
+STATUS_RETRACTED = "R"
 
 MONEY = T.DecimalType(10, 2)
 
 # Type of each mandatory column when a landed CSV is read.
 MANDATORY_TYPES: dict[str, T.DataType] = {
-    "customer_id": T.IntegerType(),
-    "store_id": T.IntegerType(),
+    "customer_id": T.LongType(),
+    "store_id": T.LongType(),
     "product_name": T.StringType(),
     "sales_date": T.DateType(),
-    "sales_person_id": T.IntegerType(),
+    "sales_person_id": T.LongType(),
     "price": MONEY,
     "quantity": T.IntegerType(),
     "total_cost": MONEY,

@@ -66,9 +66,12 @@ def write_partitioned(
     partition_cols=SALES_TEAM_PARTITIONS,
     overwrite: str = "static",
     mode: str = "overwrite",
+    rebalance=None,
 ) -> str:
     """K2 — Hive-style partitioned parquet.
 
+    ``rebalance`` names the columns that rows are brought together by (default: the partition columns).
+
     ``overwrite="static"`` replaces the whole tree; ``"dynamic"`` replaces only
     the partitions present in ``df`` (others are kept).
     """
@@ -77,7 +80,7 @@ def write_partitioned(
     cols = list(partition_cols)
     with parallel_small_writes(df.sparkSession):
         (
-            df.hint("rebalance", *cols)
+            df.hint("rebalance", *(rebalance or cols))
             .write.mode(mode)
             .option("partitionOverwriteMode", overwrite)
             .partitionBy(*cols)
@@ -101,28 +104,24 @@ def publish_snapshot(
     v = snapshot_version() if version is None else int(version)
     prefix = prefix.rstrip("/")
     write_partitioned(df, f"{prefix}/version={v}", partition_cols, mode="errorifexists")
-    # Pointer written after the data: readers never see a half-written version.
-    current = _pointer(df.sparkSession, prefix)
-    if current is None or v > current:
-        df.sparkSession.createDataFrame([(str(v),)], "value string").coalesce(1).write.mode("overwrite").text(
-            f"{prefix}/{LATEST_POINTER}"
-        )
+    # Named after the data is there, by an append: no moment without a latest version.
+    named = df.sparkSession.createDataFrame([(str(v),)], "value string")
+    named.coalesce(1).write.mode("append").text(f"{prefix}/{PUBLISHED}")
     return v
 
 
 # Hidden from partition discovery (leading underscore).
-LATEST_POINTER = "_latest_version"
+PUBLISHED = "_published"
 
 
-def _pointer(spark: SparkSession, prefix: str) -> int | None:
+def _newest(spark: SparkSession, prefix: str) -> int | None:
     try:
-        rows = spark.read.text(f"{prefix}/{LATEST_POINTER}").collect()
+        named = spark.read.text(f"{prefix}/{PUBLISHED}")
     except AnalysisException as exc:
         if exc.getCondition() != "PATH_NOT_FOUND":
             raise
-        return None  # no pointer yet
-    vals = [int(r.value) for r in rows if r.value and r.value.strip().isdigit()]
-    return max(vals) if vals else None
+        return None  # nothing named yet
+    return named.selectExpr("max(cast(value as bigint))").first()[0]
 
 
 _VERSION = re.compile(r"/version=(\d+)/")
@@ -137,12 +136,12 @@ def snapshot_versions(spark: SparkSession, prefix: str) -> list[int]:
 def latest_snapshot(spark: SparkSession, prefix: str, schema: T.StructType | None = None) -> DataFrame:
     """S7 + K3 — the newest published snapshot, read from its own folder only.
 
-    The version comes from the ``_latest_version`` pointer (no listing of older
-    versions); without a pointer the versions are listed.
+    The version comes from the names that publications append under ``_published``;
+    without any the versions' folders are listed.
     """
     prefix = prefix.rstrip("/")
-    v = _pointer(spark, prefix)
-    if v is None:  # no pointer: fall back to listing the versions
+    v = _newest(spark, prefix)
+    if v is None:  # nothing named: fall back to listing the versions
         versions = snapshot_versions(spark, prefix)
         if not versions:
             raise FileNotFoundError(f"no snapshot under {prefix}")

@@ -33,14 +33,19 @@ def quarantined_lines(spark: SparkSession, audit: DataFrame) -> DataFrame:
 
     One scan of the rejected files: the header text is already in the audit, so
     a line is a header when it sits in the file's first split and equals it.
-    Zero-byte files have no lines; they stay visible in the audit.
+    A file without a byte has no lines; it has one row here, whose ``line`` is null.
     """
+    size = F.col("file_size") if "file_size" in audit.columns else F.lit(None).cast("bigint")
     rejected = audit.where(~F.col("accepted")).select(
-        "path", "file_name", "reason", F.array_join("missing", ",").alias("missing"), "header"
+        "path", "file_name", "reason", F.array_join("missing", ",").alias("missing"), "header", size.alias("_size")
     )
+    empty = rejected.where("_size = 0").select(
+        "file_name", "path", "reason", "missing", F.lit(False).alias("is_header"), F.lit(None).cast("string").alias("line")
+    )
+    rejected = rejected.where("_size is null or _size > 0").drop("_size")
     paths = paths_of(rejected)
     if not paths:
-        return spark.createDataFrame([], QUARANTINE_SCHEMA)
+        return spark.createDataFrame([], QUARANTINE_SCHEMA).unionByName(empty)
     lines = spark.read.text(paths).select(
         normalise_path(F.col("_metadata.file_path")).alias("path"),
         F.col("_metadata.file_block_start").alias("_start"),
@@ -51,8 +56,8 @@ def quarantined_lines(spark: SparkSession, audit: DataFrame) -> DataFrame:
         (F.col("reason") != REASON_NOT_CSV) & (F.col("_start") == 0) & F.coalesce(F.col("line") == F.col("header"),
                                                                                   F.lit(False))
     )
-    return lines.join(meta, "path").select("file_name", "path", "reason", "missing", is_header.alias("is_header"),
-                                           "line")
+    told = lines.join(meta, "path").select("file_name", "path", "reason", "missing", is_header.alias("is_header"), "line")
+    return told.unionByName(empty)
 
 
 def quarantine(spark: SparkSession, audit: DataFrame, path: str, mode: str = "overwrite") -> DataFrame:

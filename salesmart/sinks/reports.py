@@ -22,11 +22,13 @@ REPORT_SCHEMA = T.StructType(
 )
 
 
-def write_monthly_report(report: DataFrame, path: str, mode: str = "overwrite") -> str:
+def write_monthly_report(report: DataFrame, path: str, mode: str = "overwrite", overwrite: str = "static") -> str:
+    """K5 — ``overwrite="dynamic"`` replaces only the months in ``report``."""
     (
         report.hint("rebalance", "sales_month")
         .sortWithinPartitions("sales_month", "sales_person_store_id", "sales_person_name")
         .write.mode(mode)
+        .option("partitionOverwriteMode", overwrite)
         .partitionBy("sales_month")
         .option("header", True)
         .csv(path)

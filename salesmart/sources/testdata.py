@@ -176,6 +176,79 @@ def land_sales(spark: SparkSession, sf_dir: str, root: str) -> str:
     return root
 
 
+def land_by_month(fact: DataFrame, root: str) -> str:
+    """Land a fact as one CSV file per month of sale: ``land_month=yyyy-MM/part-….csv``."""
+    from salesmart.functions.columns import month_key
+    from salesmart.schema import MANDATORY_COLUMNS
+
+    rows = fact.select(*MANDATORY_COLUMNS, month_key("sales_date").alias("land_month"))
+    rows.repartition("land_month").write.partitionBy("land_month").option("header", True).csv(root)
+    return root
+
+
+def corrected(fact: DataFrame) -> DataFrame:
+    """A later edition of some sales: a third of the sellers' are gone, some cost twice as much, some were a month later."""
+    moved = F.when(F.col("customer_id") % 7 == 0, F.date_add("sales_date", 31)).otherwise(F.col("sales_date"))
+    dearer = F.when(F.col("customer_id") % 2 == 0, money(F.col("total_cost") * 2)).otherwise(F.col("total_cost"))
+    return (
+        fact.where(F.col("sales_person_id") % 3 != 0)
+        .withColumn("total_cost", dearer)
+        .withColumn("land_month", F.date_format("sales_date", "yyyy-MM"))
+        .withColumn("sales_date", moved)
+    )
+
+
+def reland_months(spark: SparkSession, edition: DataFrame, root: str, scratch: str) -> int:
+    """Put another edition's months (``land_month``) in place of the files that hold them under ``root``."""
+    from salesmart.schema import MANDATORY_COLUMNS
+    from salesmart.sinks import storage
+    from salesmart.sources.files import discover_files
+
+    rows = edition.select(*MANDATORY_COLUMNS, "land_month")
+    rows.repartition("land_month").write.partitionBy("land_month").option("header", True).csv(scratch)
+    month = F.regexp_extract("path", "/land_month=([^/]+)/", 1).alias("m")
+    names = lambda at: discover_files(spark, at, stats=False).select("path", month).where("m <> ''")
+    new, old = names(scratch), names(root).withColumnRenamed("path", "old")
+    pairs = new.join(old, "m").collect()  # one file for each month
+    for r in pairs:
+        storage.move(spark, r.path, r.old, replace=True)
+    return len(pairs)
+
+
+def _under_header(header: str):
+    """``mapInArrow`` body: every file of a text write begins with ``header``."""
+
+    def lines(batches):
+        import pyarrow as pa
+
+        first = True
+        for batch in batches:
+            if first:
+                yield pa.RecordBatch.from_arrays([pa.array([header], batch.schema.field(0).type)], schema=batch.schema)
+                first = False
+            yield batch
+
+    return lines
+
+
+def land_faulty(fact: DataFrame, root: str) -> str:
+    """Land a fact as CSV with faults: lines without their last cell, quantities in words."""
+    from salesmart.schema import MANDATORY_COLUMNS
+
+    cell = {c: F.col(c).cast("string") for c in MANDATORY_COLUMNS}
+    cell["quantity"] = F.when(F.col("customer_id") % 11 == 0, F.lit("two")).otherwise(cell["quantity"])
+    cell["total_cost"] = F.when(F.col("customer_id") % 13 != 0, cell["total_cost"])
+    lines = fact.select(F.concat_ws(",", *cell.values()).alias("value"))
+    headed = lines.mapInArrow(_under_header(",".join(MANDATORY_COLUMNS)), "value string")
+    headed.write.option("lineSep", "\n").text(f"{root}/_parts")
+    from salesmart.sinks import storage
+    from salesmart.sources.files import discover_files
+
+    for i, r in enumerate(discover_files(fact.sparkSession, f"{root}/_parts", stats=False).collect()):
+        storage.move(fact.sparkSession, r.path, f"{root}/sales/part-{i:05d}.csv")
+    return f"{root}/sales"
+
+
 def ledger_files(spark: SparkSession, sf_dir: str, prefix: str = "sales_data") -> DataFrame:
     """One logical landed file per order month: ``sales_data_yyyy-MM.csv``."""
     od = table(spark, sf_dir, "orders")

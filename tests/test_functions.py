@@ -11,7 +11,7 @@ from salesmart.functions import columns as C
 
 def test_scalar_expressions(spark):
     df = spark.createDataFrame(
-        [(d.date(2023, 3, 17), "Ryan", "Dugar", "s3://bucket/sales_data/a b.csv", Decimal("123.45"))],
+        [(d.date(2023, 3, 17), "First6", "Last6", "s3://bucket/sales_data/a b.csv", Decimal("123.45"))],
         "dt date, f string, l string, uri string, amt decimal(10,2)",
     )
     r = df.select(
@@ -28,7 +28,7 @@ def test_scalar_expressions(spark):
         C.ts_literal("2024-01-01 10:00:00").alias("ts"),
         C.normalise_path(F.lit("file:///tmp/a%20b.csv")).alias("norm"),
     ).first()
-    assert (r.mk, str(r.ms), r.fn, r.fn_null) == ("2023-03", "2023-03-01", "Ryan Dugar", None)
+    assert (r.mk, str(r.ms), r.fn, r.fn_null) == ("2023-03", "2023-03-01", "First6 Last6", None)
     assert (r.base, r.key, r.kept) == ("a b.csv", "sales_data/a b.csv", "other/x.csv")
     assert (r.lt, r.inc_top, r.inc_rest) == (Decimal("4.50"), Decimal("1.23"), Decimal("0.00"))
     assert str(r.ts) == "2024-01-01 10:00:00" and r.norm == "file:/tmp/a b.csv"

@@ -122,7 +122,8 @@ def test_quarantine_lines_and_reasons(spark, audit):
     by_file = {}
     for r in data:
         by_file.setdefault(r.file_name, []).append(r)
-    assert sorted(by_file) == ["missing.csv", "notes.json", "upper.csv"]
+    assert sorted(by_file) == ["empty.csv", "missing.csv", "notes.json", "upper.csv"]
+    assert [r.line for r in by_file["empty.csv"]] == [None]  # without a byte: one row without a line
     assert len(by_file["notes.json"]) == 2 and by_file["notes.json"][0].reason == "not_csv"
     assert by_file["missing.csv"][0].missing == "store_id"
     assert sum(r.is_header for r in q) == 2  # missing.csv and upper.csv headers

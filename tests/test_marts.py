@@ -55,7 +55,7 @@ def test_three_way_tie_all_paid(spark, dims):
     assert rows[(122, "2023-03", 4)].incentive == Decimal("1.56")
     assert rows[(122, "2023-03", 5)].incentive == Decimal("0.00")
     assert rows[(122, "2023-04", 5)].incentive == Decimal("0.50")
-    assert rows[(121, "2023-03", 1)].full_name == "Chetan Kamatkar"
+    assert rows[(121, "2023-03", 1)].full_name == "Seller1 Name1"
 
 
 def test_tie_one_lowest_id(spark, dims):

@@ -7,7 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from salesmart.operators import ledger as LG
-from salesmart.plans.pipeline import RerunRequired, run_pipeline
+from salesmart.plans import pipeline as PL
+from salesmart.plans.pipeline import RerunRequired, read_snapshot, run_pipeline
+from salesmart.sources.files import NoDataError
 from tests.seed import dimensions
 from tests.test_ingest import BASE, _land
 
@@ -47,7 +49,8 @@ def test_outputs_exist_and_agree(spark, result):
 
 def test_ledger_finished(spark, result):
     cur = LG.ledger_current(LG.read_ledger(spark, result.ledger)).collect()
-    assert sorted((r.file_name, r.status) for r in cur) == [("day1.csv", "I"), ("day2.csv", "I")]
+    assert sorted((r.file_name, r.status) for r in cur) == [
+        ("bad.csv", "E"), ("day1.csv", "I"), ("day2.csv", "I"), ("x.json", "E")]
 
 
 def test_crash_then_rerun(spark):
@@ -134,3 +137,187 @@ def test_marts_accumulate_over_runs(spark):
     assert third.pending_before == 1
     assert spark.read.parquet(p["sales_partitioned_data_mart"]).agg(F.sum("total_cost")).first()[0] == 350
     assert [r.total_sales for r in spark.read.parquet(p["customers_data_mart"]).collect()] == [350]
+
+
+def _job(spark, landing, out, **options):
+    customer, store, _, team = dimensions(spark)
+    return run_pipeline(spark, landing, out, customer, store, team, **options)
+
+
+FEW = {"sales_team_data_mart"}
+
+
+def _write(landing, name, rows, at):
+    path = os.path.join(landing, name)
+    with open(path, "w") as f:
+        f.write("\n".join([BASE, *rows]) + "\n")
+    os.utime(path, (at, at))
+
+
+SUMMED = {
+    "enriched": "total_cost", "customer_data_mart": "total_cost", "sales_team_data_mart": "total_cost",
+    "sales_partitioned_data_mart": "total_cost", "customers_data_mart": "total_sales", "customer_day_mart": "total_sales",
+    "sales_team_month_mart": "total_sales",
+}
+
+
+def _sums(spark, res):
+    """Total and months of every output, and of the newest snapshot."""
+    out = {}
+    frames = {n: (spark.read.parquet(res.paths[n]), c) for n, c in SUMMED.items()}
+    frames["snapshot"] = read_snapshot(spark, res.out, ledger_path=res.ledger), "total_cost"
+    for name, (df, c) in frames.items():
+        month = "substring(cast(sales_date_month as string), 1, 7)" if name == "customers_data_mart" else "sales_month"
+        rows = df.groupBy(F.expr(month).alias("m")).agg(F.sum(c).alias("s")).collect()
+        out[name] = {r.m: float(r.s) for r in rows}
+    report = spark.read.option("header", True).csv(res.paths["monthly_report"])
+    rows = report.groupBy("sales_month").agg(F.sum(report.columns[2]).alias("s")).collect()
+    out["monthly_report"] = {r.sales_month: float(r.s) for r in rows}
+    return out
+
+
+def _all(months):
+    return {n: months for n in (*SUMMED, "snapshot", "monthly_report")}
+
+
+def test_corrected_file_replaces_its_old_version(spark):
+    landing, out = tempfile.mkdtemp(prefix="salesmart-fix-"), tempfile.mkdtemp(prefix="salesmart-fix-out-")
+    _write(landing, "a.csv", ["1,121,sugar,2023-03-03,1,50,3,150", "2,121,sugar,2023-04-04,1,50,1,50"], 1_700_000_000)
+    _write(landing, "b.csv", ["3,122,maida,2023-03-05,4,20,1,20"], 1_700_000_000)
+    first = _job(spark, landing, out)
+    assert _sums(spark, first) == _all({"2023-03": 170.0, "2023-04": 50.0})
+    # a.csv again: a sale is dearer, and the sale of April was one of May
+    _write(landing, "a.csv", ["1,121,sugar,2023-03-03,1,50,4,200", "2,121,sugar,2023-05-04,1,50,1,50"], 1_700_000_100)
+    second = _job(spark, landing, out)
+    assert (second.accepted_files, second.retracted_files) == (1, 1)
+    assert _sums(spark, second) == _all({"2023-03": 220.0, "2023-05": 50.0})
+    # the first version is still as it was
+    old = read_snapshot(spark, out, first.snapshot_version)
+    assert sorted((r.sales_month, float(r.total_cost)) for r in old.collect()) == [
+        ("2023-03", 20.0), ("2023-03", 150.0), ("2023-04", 50.0)]
+    state = {(r.file_name, r.status) for r in LG.ledger_current(LG.read_ledger(spark, second.ledger)).collect()}
+    assert state == {("a.csv", "I"), ("a.csv", "R"), ("b.csv", "I")}
+    # a second correction, of the other file: its row was carried into run 2
+    _write(landing, "b.csv", ["3,122,maida,2023-03-05,4,20,2,40"], 1_700_000_200)
+    third = _job(spark, landing, out)
+    assert _sums(spark, third) == _all({"2023-03": 240.0, "2023-05": 50.0})
+    assert read_snapshot(spark, out, second.snapshot_version).agg(F.sum("total_cost")).first()[0] == 270
+
+
+def test_months_in_many_parts_are_folded(spark):
+    landing, out = tempfile.mkdtemp(prefix="salesmart-fold-"), tempfile.mkdtemp(prefix="salesmart-fold-out-")
+    for day in range(1, 5):
+        _write(landing, f"d{day}.csv", [f"{day},121,sugar,2023-03-0{day},1,50,1,50"], 1_700_000_000 + day)
+        res = _job(spark, landing, out, fold_after=2)
+    assert _sums(spark, res) == _all({"2023-03": 200.0})
+    runs = spark.read.parquet(res.paths["sales_partitioned_data_mart"]).select("run_id").distinct().collect()
+    assert [r.run_id for r in runs] == [4]
+
+
+def test_died_run_leaves_no_phantom_sales(spark, monkeypatch):
+    """Run 1 dies after every mart is written; its file is corrected to another month before the re-run."""
+    landing, out = tempfile.mkdtemp(prefix="salesmart-die-"), tempfile.mkdtemp(prefix="salesmart-die-out-")
+    _write(landing, "a.csv", ["1,121,sugar,2023-03-03,1,50,2,100"], 1_700_000_000)
+    with monkeypatch.context() as m:
+        m.setattr(LG, "ledger_finish", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("killed")) if len(a) < 3 else _finish(*a, **k))
+        with pytest.raises(RuntimeError, match="killed"):
+            _job(spark, landing, out)
+    _write(landing, "a.csv", ["1,121,sugar,2023-04-03,1,50,3,150"], 1_700_000_100)
+    res = _job(spark, landing, out)
+    assert res.run_id == 1 and res.pending_before == 0  # the version that was begun is gone
+    assert _sums(spark, res) == _all({"2023-04": 150.0})
+
+
+_finish = LG.ledger_finish
+
+
+def test_tidy_up_after_a_run_that_died_behind_its_finish(spark, monkeypatch):
+    landing, out = tempfile.mkdtemp(prefix="salesmart-tidy-"), tempfile.mkdtemp(prefix="salesmart-tidy-out-")
+    _write(landing, "a.csv", ["1,121,sugar,2023-03-03,1,50,2,100"], 1_700_000_000)
+    _job(spark, landing, out)
+    _write(landing, "a.csv", ["1,121,sugar,2023-03-03,1,50,3,150"], 1_700_000_100)
+    with monkeypatch.context() as m:
+        m.setattr(PL, "_retire", lambda spark, paths, units: (_ for _ in ()).throw(RuntimeError("killed")) if units else None)
+        with pytest.raises(RuntimeError, match="killed"):
+            _job(spark, landing, out)
+    _write(landing, "b.csv", ["2,121,sugar,2023-03-04,1,50,1,50"], 1_700_000_200)
+    assert _sums(spark, _job(spark, landing, out)) == _all({"2023-03": 200.0})
+
+
+def test_a_run_number_has_one_holder(spark):
+    landing, out = tempfile.mkdtemp(prefix="salesmart-claim-"), tempfile.mkdtemp(prefix="salesmart-claim-out-")
+    _write(landing, "a.csv", ["1,121,sugar,2023-03-03,1,50,2,100"], 1_700_000_000)
+    with PL.run_claim(spark, f"{out}/_ledger", 1):
+        with pytest.raises(PL.RunClaimed, match="run 1 is held by"):
+            _job(spark, landing, out, outputs=FEW)
+        assert _job(spark, landing, out, takeover=True, outputs=FEW).run_id == 1
+    _write(landing, "b.csv", ["1,121,sugar,2023-03-03,1,50,2,100"], 1_700_000_000)
+    assert _job(spark, landing, out, outputs=FEW).run_id == 2  # claims are given back
+
+
+def test_rejected_lines_are_kept_and_counted(spark):
+    landing, out = tempfile.mkdtemp(prefix="salesmart-rej-"), tempfile.mkdtemp(prefix="salesmart-rej-out-")
+    _write(
+        landing, "a.csv",
+        ["1,121,sugar,2023-03-03,1,50,2,100", "1,121,sugar,2023-03-03,1,50,two,100", "1,121,sugar,2023-03-03,1,50",
+         "1,121,sugar,2023-03-03,1,50,2,100,9", "1,121,sugar,2023-13-03,1,50,2,100", "99999999999999999999,121,sugar,2023-03-03,1,50,2,100",
+         "5000000000,121,sugar,2023-03-03,1,50,2,100", "1,999,sugar,2023-03-03,1,50,2,100", "1,121,sugar,2023-03-03,999,50,2,100",
+         '1,121,"su\ngar, raw",2023-03-04,1,50,2,100', "1,121,sugar,2023-03-03,1,50,2,999999999.99", ",121,sugar,2023-03-03,1,50,2,100"],
+        1_700_000_000,
+    )
+    _write(landing, "none.csv", [], 1_700_000_000)
+    res = _job(spark, landing, out, outputs=FEW)
+    assert (res.landed_lines, res.accepted_lines, res.rejected_lines) == (12, 2, 10)
+    told = sorted((r.reason, r.line) for r in spark.read.parquet(res.paths["rejected_rows"]).collect())
+    assert [r for r, _ in told] == [
+        "bad_cell:customer_id", "bad_cell:quantity", "bad_cell:sales_date", "bad_cell:total_cost", "malformed_line",
+        "malformed_line", "no_customer", "no_customer", "no_sales_team", "no_store"]
+    assert ("bad_cell:quantity", "1,121,sugar,2023-03-03,1,50,two,100") in told
+    assert ("malformed_line", "1,121,sugar,2023-03-03,1,50,2,100,9") in told
+    names = {r.file_name for r in spark.read.parquet(res.paths["rejected_rows"]).collect()}
+    assert names == {"a.csv"}
+    kept = spark.read.parquet(res.paths["enriched"]).collect()
+    assert sorted(r.product_name for r in kept) == ["su\ngar, raw", "sugar"]
+    assert spark.read.parquet(res.paths["sales_team_data_mart"]).agg(F.sum("total_cost")).first()[0] == 200
+
+
+def test_left_join_keeps_sales_without_a_dimension_row(spark):
+    landing, out = tempfile.mkdtemp(prefix="salesmart-left-"), tempfile.mkdtemp(prefix="salesmart-left-out-")
+    _write(landing, "a.csv", ["1,999,sugar,2023-03-03,1,50,2,100"], 1_700_000_000)
+    res = _job(spark, landing, out, how="left", outputs=FEW)
+    assert (res.accepted_lines, res.rejected_lines) == (1, 0)
+
+
+def test_a_key_twice_in_a_dimension_stops_the_run(spark):
+    customer, store, _, team = dimensions(spark)
+    landing, out = tempfile.mkdtemp(prefix="salesmart-dup-"), tempfile.mkdtemp(prefix="salesmart-dup-out-")
+    _write(landing, "a.csv", ["1,121,sugar,2023-03-03,1,50,2,100"], 1_700_000_000)
+    with pytest.raises(PL.LinesLost, match="store has id 121 2 times"):
+        run_pipeline(spark, landing, out, customer, store.union(store.where("id = 121")), team)
+    assert LG.finished_runs(LG.read_ledger(spark, out + "/_ledger")).count() == 0
+
+
+def test_rejected_files_are_told_once(spark):
+    landing, out = tempfile.mkdtemp(prefix="salesmart-once-"), tempfile.mkdtemp(prefix="salesmart-once-out-")
+    with open(landing + "/bad.csv", "w") as f:
+        f.write("customer_id,product_name\n1,sugar\n")
+    open(landing + "/empty.csv", "w").close()
+    with pytest.raises(NoDataError, match="correct files"):
+        _job(spark, landing, out, outputs=FEW)
+    _write(landing, "a.csv", ["1,121,sugar,2023-03-03,1,50,2,100"], 1_700_000_000)
+    res = _job(spark, landing, out, outputs=FEW)
+    assert (res.accepted_files, res.rejected_files) == (1, 0)
+    told = spark.read.parquet(res.paths["quarantine"]).collect()
+    assert sorted((r.file_name, r.line) for r in told if not r.is_header) == [("bad.csv", "1,sugar"), ("empty.csv", None)]
+
+
+def test_later_runs_read_touched_months_only(spark):
+    landing, out = tempfile.mkdtemp(prefix="salesmart-touch-"), tempfile.mkdtemp(prefix="salesmart-touch-out-")
+    _write(landing, "a.csv", [f"1,121,sugar,2023-0{m}-03,1,50,2,100" for m in range(1, 7)], 1_700_000_000)
+    first = _job(spark, landing, out, outputs={"sales_team_month_mart"})
+    path = first.paths["sales_team_month_mart"].replace("file:", "")
+    before = {d: sorted(os.listdir(f"{path}/{d}")) for d in os.listdir(path) if d.startswith("sales_month")}
+    _write(landing, "b.csv", ["2,121,sugar,2023-02-03,1,50,1,50"], 1_700_000_000)
+    _job(spark, landing, out, outputs={"sales_team_month_mart"})
+    after = {d: sorted(os.listdir(f"{path}/{d}")) for d in os.listdir(path) if d.startswith("sales_month")}
+    assert {d for d in before if before[d] != after[d]} == {"sales_month=2023-02"}

@@ -114,3 +114,51 @@ def test_parallel_small_writes_restores_conf(spark):
             assert spark.conf.get(key) == "16KB"
     finally:
         spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def test_failed_publication_leaves_the_old_table(spark, out):
+    df = _mart(spark)
+    name = "t_sales_mart_two_phases"
+    TB.write_table(df, name, path=out + "/t")
+    before = spark.sql(f"DESCRIBE EXTENDED {name}").where("col_name = 'Location'").first()[1]
+
+    def failing(n):
+        if n == 2:
+            raise ValueError("no such row")
+        return n
+
+    broken = df.withColumn("v", F.udf(failing, "int")(F.lit(2)))
+    with pytest.raises(Exception, match="no such row"):
+        TB.write_table(broken, name, path=out + "/t")
+    assert spark.table(name).count() == 3
+    TB.write_table(df.where("v > 10"), name, path=out + "/t")
+    assert spark.table(name).count() == 2
+    after = spark.sql(f"DESCRIBE EXTENDED {name}").where("col_name = 'Location'").first()[1]
+    assert after != before and spark.read.parquet(before).count() == 3
+    TB.write_table(df.withColumn("w", F.lit(1)), name, path=out + "/t")  # other columns
+    assert spark.table(name).columns[-1] == "w" and spark.table(name).count() == 3
+
+
+def test_equal_depth_predicates_cover_every_row_once(spark, out):
+    """A key with a third of the rows, nulls, and few different values: each row in one partition, depths even."""
+    rows = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 100 == 1, F.lit(None)).otherwise(F.col("id")).alias("k"), "id"
+    )
+    TB.write_table(rows, "t_equal_depth", path=out + "/e")
+    source = spark.table("t_equal_depth")
+    predicates = ST.equal_depth_predicates(source, "k", 8)
+    assert 4 <= len(predicates) <= 8
+    parts = [source.where(p) for p in predicates]
+    sizes = [p.count() for p in parts]
+    assert sum(sizes) == 3000 and max(sizes) <= 1000 + 2 * 3000 / 8  # the hot key is one value
+    ids = parts[0].select("id")
+    for p in parts[1:]:
+        ids = ids.union(p.select("id"))
+    assert ids.distinct().count() == 3000
+    read = ST.read_table(spark, "t_equal_depth", partition_column="k", num_partitions=8)
+    assert read.count() == 3000 and sorted(read.columns) == ["id", "k"]
+    names = spark.createDataFrame([("a'b",), ("c",), (None,), ("z",)] * 5, "k string")
+    predicates = ST.equal_depth_predicates(names, "k", 3)
+    assert sum(names.where(p).count() for p in predicates) == 20
+    assert ST.equal_depth_predicates(names.limit(0), "k", 3) == ["1 = 1"]
+    assert ST.equal_depth_predicates(names.where("k is null"), "k", 3) == ["1 = 1"]
