@@ -6,8 +6,9 @@ sale.  ``how="left"`` keeps unmatched sales (the fact's key is kept).
 
 Join order: sales team first (same key the test-data fact was last joined
 on, so no new shuffle), then store, then customer.  Each dimension is
-broadcast only behind a bounded row probe (``operators.joins``).
-Dimension keys are assumed unique (they are primary keys in the model).
+broadcast only behind a proven bound (``operators.joins``); building a plan over
+files starts no job.  Dimension keys are unique in the model; the job counts lines
+before and after its joins and stops where one is not (``plans.pipeline``).
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.schema import ADDITIONAL_COLUMN, MANDATORY_COLUMNS
-from salesmart.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, broadcast_all_bounded, broadcast_if_bounded
+from salesmart.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, hint_small
 
 FACT_COLUMNS = (*MANDATORY_COLUMNS, ADDITIONAL_COLUMN)
 CUSTOMER_ATTRS = ["first_name", "last_name", "address", "pincode", "phone_number", "customer_joining_date"]
@@ -73,9 +74,7 @@ def enrich(
     """J1–J3 — fact ⋈ sales_team ⋈ store ⋈ customer (equi-joins on the ids)."""
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
-    st, so, cu = broadcast_all_bounded(
-        [sales_team_dim(sales_team), store_dim(store), customer_dim(customer)], broadcast_max_rows
-    )
+    st, so, cu = hint_small([sales_team_dim(sales_team), store_dim(store), customer_dim(customer)], broadcast_max_rows)
     joined = fact.join(st, "sales_person_id", how).join(so, "store_id", how).join(cu, "customer_id", how)
     return joined.select(*fact.columns, *CUSTOMER_ATTRS, *STORE_ATTRS, *SALES_TEAM_ATTRS)
 
@@ -87,10 +86,8 @@ def enrich_product(
     broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """J4 — fact ⋈ product on ``product_name = name``; adds ``current_price``, ``expiry_date``."""
-    pr = broadcast_if_bounded(
-        product.select(F.col("name").alias("product_name"), "current_price", "expiry_date"),
-        broadcast_max_rows,
-    )
+    named = product.select(F.col("name").alias("product_name"), "current_price", "expiry_date")
+    (pr,) = hint_small([named], broadcast_max_rows)
     return fact.join(pr, "product_name", how).select(*fact.columns, "current_price", "expiry_date")
 
 
@@ -120,7 +117,7 @@ def enrich_lines(
             "product_name",
             product.select(F.col("name").alias("product_name"), "current_price", "expiry_date"),
         )
-    hinted = broadcast_all_bounded([d for _, d in dims.values()], broadcast_max_rows)
+    hinted = hint_small([d for _, d in dims.values()], broadcast_max_rows)
     joined, unmatched = lines, []
     for (name, (key, _)), dim in zip(dims.items(), hinted):
         joined = joined.join(dim.withColumn(f"_in_{name}", F.lit(True)), key, "left")

@@ -1,6 +1,8 @@
 """Broadcast behind a proven size bound.
 
-A dimension is hinted for broadcast only after a bounded probe shows it has at
+Where the plan knows how many bytes its files hold (``estimated_bytes``, no job), that
+decides.  Frames of unknown size (JDBC relations, rows from Python) are probed by
+rows: such a dimension is hinted for broadcast only after a bounded probe shows it has at
 most ``max_rows`` rows.  The probe is ``df.select(lit).limit(max_rows + 1).collect()``:
 ``collect()`` on a limit runs Spark's *incremental* take (one split first, then
 a growing number), so the total work is about ``max_rows`` rows whatever the
@@ -53,3 +55,31 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int | None = DEFAULT_BROADCAST
     if max_rows is None or max_rows <= 0:
         return df
     return F.broadcast(df) if row_count_at_most(df, max_rows) else df
+
+
+# File bytes of a dimension that is hinted: a few times as much once decoded.
+DEFAULT_BROADCAST_MAX_BYTES = 32 << 20
+# Spark's estimate for relations that report no size is the largest 64-bit number; joins of such multiply it.
+_UNKNOWN_BYTES = 1 << 60
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Bytes that the optimized plan expects of ``df``, from file sizes and without a job; None when it can't know."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size if size < _UNKNOWN_BYTES else None
+
+
+def hint_small(dfs: list[DataFrame], max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS) -> list[DataFrame]:
+    """``broadcast`` hints for the frames that are proven small; other frames are left to Catalyst and AQE.
+
+    By default the plan's bytes decide, and a bounded row probe only where they are unknown.
+    Another ``max_rows`` is probed in any case; None gives no hints.
+    """
+    if max_rows is None or max_rows <= 0:
+        return list(dfs)
+
+    def small(df: DataFrame) -> bool:
+        size = estimated_bytes(df) if max_rows == DEFAULT_BROADCAST_MAX_ROWS else None
+        return row_count_at_most(df, max_rows) if size is None else size <= DEFAULT_BROADCAST_MAX_BYTES
+
+    return [F.broadcast(df) if small(df) else df for df in dfs]

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from salesmart.functions.columns import normalise_path
 from salesmart.operators.audit import REASON_NOT_CSV
-from salesmart.operators.joins import broadcast_if_bounded
+from salesmart.operators.joins import hint_small
 from salesmart.sources.files import paths_of
 
 QUARANTINE_SCHEMA = T.StructType(
@@ -51,7 +51,7 @@ def quarantined_lines(spark: SparkSession, audit: DataFrame) -> DataFrame:
         F.col("_metadata.file_block_start").alias("_start"),
         F.col("value").alias("line"),
     )
-    meta = broadcast_if_bounded(rejected)
+    (meta,) = hint_small([rejected])
     is_header = (
         (F.col("reason") != REASON_NOT_CSV) & (F.col("_start") == 0) & F.coalesce(F.col("line") == F.col("header"),
                                                                                   F.lit(False))

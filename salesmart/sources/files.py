@@ -9,6 +9,7 @@ are then parsed JVM-side the way Spark's CSV reader names columns.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,7 +45,9 @@ def discover_files(spark: SparkSession, root: str, stats: bool = True) -> DataFr
     """
     try:
         uris = spark.read.option("recursiveFileLookup", True).text(root).inputFiles()
-    except Exception as exc:  # path does not exist
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
         raise NoDataError(f"No Data available to process: {root}") from exc
     if not uris:
         raise NoDataError(f"No Data available to process: {root}")
@@ -142,7 +145,7 @@ def _headers_by_split(spark: SparkSession, paths: list[str]) -> DataFrame:
 def read_headers(spark: SparkSession, files: DataFrame, method: str = "auto") -> DataFrame:
     """S3 — ``files`` plus ``header`` (first line) and ``columns`` (parsed names).
 
-    ``method="probe"`` reads at most 64 KB of each file inside Spark tasks
+    ``method="probe"`` reads each file up to its first line break inside Spark tasks
     (``mapInPandas`` over the file list), so the audit costs O(files), not
     O(data); ``"split"`` uses Spark's text source (first split of every file);
     ``"auto"`` probes and falls back to ``"split"`` for files the probe cannot

@@ -88,3 +88,28 @@ def test_probe_is_incremental(spark):
         if st.getStageInfo(s)
     )
     assert tasks < 20
+
+
+def test_building_a_plan_over_files_starts_no_job(spark):
+    sc = spark.sparkContext
+    fact, products = TD.sales_fact(spark, SF_SMALL), TD.products(spark, SF_SMALL)  # footers are read here
+    dims = TD.customers(spark, SF_SMALL), TD.stores(spark, SF_SMALL), TD.sales_team(spark, SF_SMALL)
+    sc.setJobGroup("plan-only", "plan-only")
+    try:
+        E.enrich_product(E.enrich(fact, *dims), products)
+        assert list(sc.statusTracker().getJobIdsForGroup("plan-only")) == []
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_large_files_are_not_hinted(spark, monkeypatch):
+    from salesmart.operators import joins as J
+
+    customers = TD.customers(spark, SF_SMALL)
+    size = J.estimated_bytes(customers)
+    assert 0 < size < 1 << 20
+    assert J.hint_small([customers])[0] is not customers
+    monkeypatch.setattr(J, "DEFAULT_BROADCAST_MAX_BYTES", size - 1)
+    assert J.hint_small([customers])[0] is customers
+    assert J.estimated_bytes(spark.createDataFrame([(1,)], "a int").rdd.toDF()) is None  # unknown: probed by rows
+    assert J.hint_small([customers], None)[0] is customers
