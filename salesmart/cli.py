@@ -6,7 +6,8 @@
     python -m salesmart generate-customers --out O --rows N
 
 Dimension sources are parquet paths, ``table:<name>`` for a catalog table, or
-table names read over JDBC when ``--jdbc-url`` is given.
+table names read over JDBC when ``--jdbc-url`` is given; ``name@column`` reads a large
+one in partitions of equal depth on that column.
 """
 
 from __future__ import annotations
@@ -36,7 +37,9 @@ def load_dimension(spark: SparkSession, spec: str, args) -> DataFrame:
     if spec.startswith("table:"):
         return spark.table(spec[len("table:"):])
     if args.jdbc_url:
-        return read_table(spark, spec, url=args.jdbc_url, properties=_jdbc_properties(args))
+        name, _, column = spec.partition("@")
+        parts = {"partition_column": column, "num_partitions": args.jdbc_partitions} if column else {}
+        return read_table(spark, name, url=args.jdbc_url, properties=_jdbc_properties(args), **parts)
     return spark.read.parquet(spec)
 
 
@@ -59,6 +62,7 @@ def _add_dims(p: argparse.ArgumentParser) -> None:
     p.add_argument("--jdbc-user", dest="jdbc_user")
     p.add_argument("--jdbc-password", dest="jdbc_password")
     p.add_argument("--jdbc-driver", dest="jdbc_driver")
+    p.add_argument("--jdbc-partitions", type=int, default=8, help="partitions of tables given as name@column")
     p.add_argument("--how", choices=["inner", "left"], default="inner")
     p.add_argument("--scope", choices=["store_month", "month"], default="store_month")
     p.add_argument("--ties", choices=["all", "one"], default="all")

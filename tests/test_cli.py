@@ -29,3 +29,44 @@ def test_generate_then_run(spark):
     assert spark.read.parquet(rep["paths"]["enriched"]).count() == 800
     assert mart.where("incentive > 0").count() >= 1
     assert spark.read.option("header", True).csv(f"{work}/gen_customers").count() == 25
+
+
+def test_options_reach_the_job(spark, monkeypatch):
+    """Tables, takeover and splitting are handed on; a stream has no product to ignore."""
+    import pytest
+
+    from salesmart import cli
+    from salesmart.plans import pipeline as PL
+
+    given = {}
+
+    def run(spark, landing, out, customer, store, team, **options):
+        given.update(options)
+        return PL.PipelineResult(out, "l", 0, 1, 0, 0)
+
+    monkeypatch.setattr(PL, "run_pipeline", run)
+    monkeypatch.setattr(cli, "load_dimension", lambda spark, spec, args: spec)
+    dims = ["--landing", "L", "--out", "O", "--customer", "C", "--store", "S", "--sales-team", "T"]
+    main(["run", *dims, "--product", "P", "--takeover", "--split-files", "--mart-tables"], spark=spark)
+    assert given["product"] == "P" and given["takeover"] and not given["multi_line"] and given["table_options"] == {}
+    main(["run", *dims, "--mart-jdbc-url", "jdbc:x", "--jdbc-user", "u"], spark=spark)
+    assert given["table_options"] == {"url": "jdbc:x", "properties": {"user": "u"}} and given["multi_line"]
+    main(["run", *dims], spark=spark)
+    assert given["table_options"] is None and given["product"] is None
+    with pytest.raises(SystemExit):
+        main(["stream", *dims, "--checkpoint", "K", "--product", "P"], spark=spark)
+
+
+def test_jdbc_dimensions_name_their_partition_column(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from salesmart import cli
+    from salesmart.sources import tables as ST
+
+    asked = []
+    monkeypatch.setattr(ST, "read_table", lambda spark, table, **options: asked.append((table, options)))
+    args = SimpleNamespace(jdbc_url="jdbc:x", jdbc_user="u", jdbc_password=None, jdbc_driver=None, jdbc_partitions=4)
+    cli.load_dimension(spark, "customer@customer_id", args)
+    cli.load_dimension(spark, "store", args)
+    same = {"url": "jdbc:x", "properties": {"user": "u"}}
+    assert asked == [("customer", {**same, "partition_column": "customer_id", "num_partitions": 4}), ("store", same)]
