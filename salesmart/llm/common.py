@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -14,6 +15,9 @@ from salesmart.session import work_dir
 #: ASCII white space of the word pattern ``[^\x20\x09-\x0D]+``.
 WORD = "[^\\x20\\x09-\\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Arrow data of a batch, for operators that hold several things made of one.
+BATCH = "8m"
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 _FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -28,6 +32,22 @@ def freed_shuffles(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(_FREE_SHUFFLES, before)
 
 
+def in_small_batches(build: Callable) -> Callable:
+    """``build(docs, …)`` whose jobs hand tasks ``BATCH`` of Arrow data at once: what a worker and its executor hold with it."""
+
+    @wraps(build)
+    def within(docs: DataFrame, *args, **kwargs):
+        conf = docs.sparkSession.conf
+        before = conf.get(_BATCH_BYTES)
+        conf.set(_BATCH_BYTES, BATCH)
+        try:
+            return build(docs, *args, **kwargs)
+        finally:
+            conf.set(_BATCH_BYTES, before)
+
+    return within
+
+
 def staged(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
     """``df`` written to the shared folder and read back: cuts lineage, survives lost executors."""
     spark = df.sparkSession

@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import staged
+from salesmart.llm.common import in_small_batches, staged
 from salesmart.llm.components import components
 from salesmart.llm.textarrow import mix64, steps, utf8, words
 
@@ -247,7 +247,7 @@ def _texts(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 def document_sets(docs: DataFrame, key: str, text: str, n_words: int) -> tuple[DataFrame, DataFrame]:
     """(id, text_hash, n, fp of every document; shingle and number of documents, for shingles frequent in some task)."""
-    window = 4_000_000  # shingles that are counted at once
+    window = 2_000_000  # shingles that are counted at once
     id_type = docs.schema[key].dataType.simpleString()
     names = ["kind", "id", "text_hash", "n", "fp"]
 
@@ -467,6 +467,7 @@ def _block_links(nodes: DataFrame, sets: DataFrame, num: int, den: int) -> DataF
     return keyed.groupBy("cluster", "a", "b").applyInArrow(compare, "hub long, fp long").distinct()
 
 
+@in_small_batches
 def similar_groups(
     docs: DataFrame, *, key: str = "doc_id", text: str = "text", n_words: int = WORDS, num: int = NUM, den: int = DEN
 ) -> tuple[DataFrame, DataFrame]:

@@ -21,6 +21,7 @@ columns named ``score`` are replaced.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,11 +30,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import freed_shuffles
+from salesmart.llm.common import freed_shuffles, in_small_batches
 from salesmart.llm.textarrow import NOT_ALNUM, mix64, steps, utf8, words
 
 #: Labelled documents that the model is fitted on, as expected from the hash; features of them at most.
 SAMPLE, SAMPLE_FEATURES = 16_000, 60_000_000
+#: Texts whose coordinates a task hands on at once.
+EXTRACTED = 256
 BITS = 22
 EPOCHS, ALPHA, BETA, L1, L2 = 3, 1.0, 1.0, 2.0, 0.0
 THRESHOLD = 0.7
@@ -87,30 +90,37 @@ def text_features(texts: pa.Array, bits: int) -> Iterator[np.ndarray]:
             yield at[cuts[i] : cuts[i + 1]]
 
 
-def fit_rows(rows: list[np.ndarray], labels: np.ndarray, bits: int = BITS) -> Model:
-    """FTRL-proximal over rows in the given order, ``EPOCHS`` times."""
-    z, n = np.zeros((1 << bits) + 1), np.zeros((1 << bits) + 1)
+def fit_rows(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, bits: int = BITS) -> Model:
+    """FTRL-proximal over rows in the given order, ``EPOCHS`` times.
+
+    ``rows`` are blocks: 32-bit coordinates of rows laid end to end, and where each row
+    begins and the last one ends. They are read where they are; no row is copied.
+    """
     bias = 1 << bits
+    z, n = np.zeros(bias + 1), np.zeros(bias + 1)
 
-    def weights(i: np.ndarray) -> np.ndarray:
-        zi, bound = z[i], np.where(i == bias, 0.0, L1)
+    def weights(i: np.ndarray, bound: float) -> np.ndarray:
+        zi = z[i]
         w = -(zi - np.sign(zi) * bound) / ((BETA + np.sqrt(n[i])) / ALPHA + L2)
         return np.where(np.abs(zi) <= bound, 0.0, w)
 
-    indices = [np.append(r, bias) for r in rows]
     for _ in range(EPOCHS):
-        for i, y in zip(indices, labels):
-            w = weights(i)
-            p = 1.0 / (1.0 + np.exp(-np.clip(w.sum(), -35, 35)))
-            g = p - y
-            ni = n[i]
-            rate = (np.sqrt(ni + g * g) - np.sqrt(ni)) / ALPHA
-            z[i] += g - rate * w
-            n[i] = ni + g * g
+        answers = iter(labels)
+        for ids, cuts in rows:
+            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                i, y = ids[a:b], next(answers)
+                w, w0 = weights(i, L1), weights(np.array([bias]), 0.0)[0]
+                p = 1.0 / (1.0 + math.exp(-min(max(w.sum() + w0, -35.0), 35.0)))
+                g = p - y
+                for at, of in ((i, w), (bias, w0)):
+                    ni = n[at]
+                    z[at] += g - (np.sqrt(ni + g * g) - np.sqrt(ni)) / ALPHA * of
+                    n[at] = ni + g * g
     at = np.flatnonzero(np.abs(z[:bias]) > L1)
-    return Model(float(weights(np.array([bias]))[0]), at, weights(at), bits)
+    return Model(float(weights(np.array([bias]), 0.0)[0]), at, weights(at, L1), bits)
 
 
+@in_small_batches
 def fit(
     docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "toxic",
     teaches: Column | None = None, sample: int = SAMPLE,
@@ -129,28 +139,38 @@ def fit(
         rows = docs.select(F.col(key).alias("_k"), F.col(text).alias("text")).join(picked, F.col("_k") == F.col("_key"))
 
         def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                ids = [r.astype(np.int32) for r in text_features(b.column("text"), BITS)]
-                yield pa.RecordBatch.from_arrays(
-                    [b.column("place"), b.column("y"), pa.array(ids, pa.list_(pa.int32()))], names=["place", "y", "ids"]
-                )
+            for whole in batches:
+                for at in range(0, len(whole), EXTRACTED):
+                    b = whole.slice(at, EXTRACTED)
+                    ids = [r.astype(np.int32) for r in text_features(b.column("text"), BITS)]
+                    yield pa.RecordBatch.from_arrays(
+                        [b.column("place"), b.column("y"), pa.array(ids, pa.list_(pa.int32()))], names=["place", "y", "ids"]
+                    )
 
         def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            taken, ys, total = [], [], 0
+            blocks, ys, total = [], [], 0
             for b in batches:
-                for y, ids in zip(b.column("y").to_pylist(), b.column("ids")):
-                    r = ids.values.to_numpy(zero_copy_only=False).astype(np.int64)
-                    if total + len(r) > SAMPLE_FEATURES:
-                        continue
-                    total += len(r)
-                    taken.append(r)
-                    ys.append(y)
-            if not taken:
+                sizes = np.asarray(b.column("ids").value_lengths(), np.int64)
+                room = np.cumsum(sizes) + total <= SAMPLE_FEATURES
+                if not room.all():  # rows that fit in order, later and shorter ones included
+                    for k, size in enumerate(sizes.tolist()):
+                        room[k] = total + size <= SAMPLE_FEATURES
+                        total += size if room[k] else 0
+                    b, sizes = b.filter(pa.array(room)), sizes[room]
+                else:
+                    total += int(sizes.sum())
+                # a copy of 4 bytes a coordinate, so that the batch can go
+                blocks.append((np.array(b.column("ids").flatten(), np.int32), np.concatenate([[0], np.cumsum(sizes)])))
+                ys += b.column("y").to_pylist()
+            if not ys:
                 return
-            m = fit_rows(taken, np.array(ys, float))
+            m = fit_rows(blocks, np.array(ys, float))
+            blocks.clear()
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.append(m.at, -1)), pa.array(np.append(m.weight, m.bias))], names=["at", "weight"]
             )
+            # the worker goes on to other tasks
+            pa.default_memory_pool().release_unused()
 
         given = rows.select("text", "place", "y").mapInArrow(extract, "place double, y int, ids array<int>")
         ordered = given.repartition(1).sortWithinPartitions("place", F.size("ids"))

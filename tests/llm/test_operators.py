@@ -270,6 +270,36 @@ def test_toxicity(spark):
     assert toxicity.score(docs, toxicity.fit(docs, table.limit(0))).where("score <> 0.5").isEmpty()
 
 
+def test_ftrl_equals_plain_updates():
+    """Blocks of coordinates against one dictionary entry a coordinate and one row at a time."""
+    rng = np.random.default_rng(8)
+    rows = [np.unique(rng.integers(0, 60, rng.integers(0, 12))).astype(np.int32) for _ in range(300)]
+    labels = [float(3 in r or rng.random() < 0.1) for r in rows]
+    z, n = collections.defaultdict(float), collections.defaultdict(float)
+
+    def weight(i):
+        bound = 0.0 if i == "bias" else toxicity.L1
+        if abs(z[i]) <= bound:
+            return 0.0
+        return -(z[i] - np.sign(z[i]) * bound) / ((toxicity.BETA + n[i] ** 0.5) / toxicity.ALPHA + toxicity.L2)
+
+    for _ in range(toxicity.EPOCHS):
+        for r, y in zip(rows, labels):
+            w = {i: weight(i) for i in [*r.tolist(), "bias"]}
+            g = 1 / (1 + np.exp(-sum(w.values()))) - y
+            for i in w:
+                z[i] += g - ((n[i] + g * g) ** 0.5 - n[i] ** 0.5) / toxicity.ALPHA * w[i]
+                n[i] += g * g
+    blocks = [
+        (np.concatenate(part), np.concatenate([[0], np.cumsum([len(r) for r in part])]))
+        for part in (rows[:100], rows[100:101], rows[101:])
+    ]
+    model = toxicity.fit_rows(blocks, np.array(labels), bits=8)
+    want = {i: weight(i) for i in range(60) if weight(i)}
+    assert model.at.tolist() == sorted(want) and abs(model.bias - weight("bias")) < 1e-9
+    assert np.allclose(model.weight, [want[i] for i in sorted(want)]) and 3 in want
+
+
 def test_sharding(spark):
     owner = sharding.fill_table(["a", "b", "c"], 101)
     sizes = collections.Counter(owner)
