@@ -1,8 +1,10 @@
 """Nearest neighbours by shifted space-filling curves.
 
-Vectors are projected by a few random rotations onto ``DIMS`` axes, shifted and
-cut to ``BITS`` bits an axis; the Hilbert index of the cell orders them along a
-curve, one order for each rotation. Spark range-partitions each order and cuts
+Vectors are projected by a few random rotations onto ``DIMS`` axes, shifted along the
+diagonal of a domain twice as wide as they fill, by another part of it for each curve,
+and cut to ``BITS`` bits an axis; the Hilbert index of the cell orders them along the
+curve. Neighbours that the border of a coarse cell tears apart on one curve lie inside a
+cell on another. Spark range-partitions each order and cuts
 it into blocks of equal size, and the queries among them into chunks of that size.
 A query looks at the blocks around its own on every curve; a task compares one block
 with one chunk by exact inner products, and the lists of their best merge, some at a
@@ -44,11 +46,11 @@ SEED = 11
 
 
 def rotations(length: int, curves: int = CURVES, dims: int = DIMS) -> tuple[np.ndarray, np.ndarray]:
-    """(curves, length, dims) with orthonormal columns, and a shift for each curve and axis, in cells."""
+    """(curves, length, dims) with orthonormal columns, and each curve's shift along every axis, as a part of the domain."""
     rng = np.random.default_rng(SEED)
     dims = min(dims, length)
     axes = np.stack([np.linalg.qr(rng.standard_normal((length, length)))[0][:, :dims] for _ in range(curves)])
-    return axes, rng.random((curves, dims))
+    return axes, np.repeat(np.arange(curves) / (curves + 1), dims).reshape(curves, dims)
 
 
 def hilbert_index(cells: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -80,12 +82,12 @@ def hilbert_index(cells: np.ndarray, bits: int = BITS) -> np.ndarray:
 
 
 def curve_keys(vectors: np.ndarray, axes: np.ndarray, shifts: np.ndarray, scale: np.ndarray) -> np.ndarray:
-    """(rows, curves) Hilbert indexes; an axis spans four of its standard deviations either way."""
+    """(rows, curves) Hilbert indexes; half an axis spans four of its standard deviations either way."""
     out = np.empty((len(vectors), len(axes)), np.int64)
-    most = (1 << BITS) - 1
+    cells = 1 << BITS
     for c, (a, s) in enumerate(zip(axes, shifts)):
-        cells = (vectors @ a / (scale[c] + 1e-300) / 8 + 0.5) * most + s
-        out[:, c] = hilbert_index(np.clip(cells, 0, most))
+        at = np.clip(vectors @ a / (scale[c] + 1e-300) / 8 + 0.5, 0, 1) * (cells / 2 - 1) + s * cells
+        out[:, c] = hilbert_index(np.minimum(at, cells - 1))
     return out
 
 
