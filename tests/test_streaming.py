@@ -40,3 +40,29 @@ def test_incremental_batches(spark):
     # archive mode moves completed files (Spark does it at a later batch commit)
     archived = [f for _, _, fs in os.walk(archive) for f in fs]
     assert archived and set(archived) <= {"d1.csv", "d2.csv", "d3.csv", "bad.csv"}
+
+
+def test_a_drain_reads_each_sale_once(spark):
+    """Marts are written when as many batches wait as are published, and at the end; a drain that died is made up for."""
+    from salesmart.sinks import storage
+
+    customer, store, _, team = dimensions(spark)
+    land = tempfile.mkdtemp(prefix="salesmart-sland-")
+    work = tempfile.mkdtemp(prefix="salesmart-swork-")
+    for i in range(6):
+        _write(land, f"d{i}.csv", f"{BASE}\n1,121,sugar,2023-0{3 + i % 2}-0{i + 1},1,50,{i + 1},{50 * (i + 1)}\n")
+        os.utime(f"{land}/d{i}.csv", (1_700_000_000 + i, 1_700_000_000 + i))
+    kw = dict(customer=customer, store=store, sales_team=team, max_files_per_trigger=1)
+    paths = process_landing_stream(spark, land, work + "/out", work + "/ckpt", **kw)
+    published = lambda: sorted(int(n.split("=")[1]) for n in storage.children(spark, paths.published))
+    totals = lambda: {r.sales_month: int(r.total_sales) for r in spark.read.parquet(paths.sales_team_month_mart).collect()}
+    assert published() == [0, 1, 3, 5] and totals() == {"2023-03": 450, "2023-04": 600}
+    assert spark.read.parquet(paths.ledger).groupBy("status").count().collect() in (
+        [("A", 6), ("I", 6)], [("I", 6), ("A", 6)],
+    )
+
+    # the drain died while it wrote the last publication: its marker is missing, its months half written
+    storage.delete(spark, f"{paths.published}/upto=5")
+    storage.delete(spark, f"{paths.sales_team_month_mart}/sales_month=2023-04")
+    process_landing_stream(spark, land, work + "/out", work + "/ckpt", **kw)
+    assert published() == [0, 1, 3, 5] and totals() == {"2023-03": 450, "2023-04": 600}
