@@ -194,3 +194,27 @@ def test_header_of_any_length(spark, tmp_path):
         path.write_text(",".join(header) + "\n1,2\n")
         line, ok = _first_line(f"file:{path}")
         assert ok and line.split(",") == header
+
+
+def test_each_cell_is_checked_once(spark, audit):
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    try:
+        plan = ingest_sales(spark, audit, keep_corrupt=True)._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+    # one each for customer, store, seller, price, quantity and total
+    assert plan.count(r"^\S+$") == 6
+
+
+def test_cells_with_blanks_are_as_the_pattern_says(spark):
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+
+    from salesmart.operators.ingest import _typed
+
+    odd = ["12", " 12", "12 ", "\t12", "12\n", "12\n\n", "1 2", "", "\x0112", "12\x7f", " 12", "12\u0085", "two", "-3", None]
+    cells = spark.createDataFrame([(c,) for c in odd], "c string")
+    for kind in (T.IntegerType(), T.DecimalType(10, 2)):
+        plain = F.when(F.col("c").rlike(r"^\S+$"), F.col("c").try_cast(kind))
+        rows = cells.select("c", _typed(F.col("c"), kind).alias("a"), plain.alias("b")).collect()
+        assert [r.c for r in rows if r.a != r.b] == [] and sum(r.a is not None for r in rows) >= 3

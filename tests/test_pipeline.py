@@ -321,3 +321,17 @@ def test_later_runs_read_touched_months_only(spark):
     _job(spark, landing, out, outputs={"sales_team_month_mart"})
     after = {d: sorted(os.listdir(f"{path}/{d}")) for d in os.listdir(path) if d.startswith("sales_month")}
     assert {d for d in before if before[d] != after[d]} == {"sales_month=2023-02"}
+
+
+def test_a_run_writes_a_month_of_sums_as_one_file(spark):
+    """Not a file for each month from every task that holds some of its keys (small tasks are not merged here)."""
+    customer, store, _, team = dimensions(spark)
+    lines = "".join(f"{i},121,sugar,2023-0{3 + i % 3}-0{1 + i % 9},{1 + i % 3},50,2,100\n" for i in range(1, 21))
+    out = tempfile.mkdtemp(prefix="salesmart-files-")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        paths = run_pipeline(spark, _land({"d.csv": f"{BASE}\n{lines}"}), out, customer, store, team, outputs=set()).paths
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    for name in ("customer_day_totals", "seller_month_totals", "enriched"):
+        assert len(spark.read.parquet(paths[name]).inputFiles()) == 3, name
