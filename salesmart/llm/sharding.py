@@ -17,6 +17,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,8 +55,9 @@ def fill_table(shards: Sequence[str], slots: int = SLOTS) -> list[int]:
 def lookup_table(spark: SparkSession, shards: Sequence[str] = SHARDS, slots: int = SLOTS) -> DataFrame:
     """slot, shard_id and shard; ``slots`` rows."""
     owner = fill_table(shards, slots)
-    rows = [(slot, i, shards[i]) for slot, i in enumerate(owner)]
-    return spark.createDataFrame(rows, "slot int, shard_id int, shard string")
+    # an Arrow table is a local relation; a list of rows would start Python workers of another kind on the executors
+    columns = {"slot": pa.array(range(slots), pa.int32()), "shard_id": pa.array(owner, pa.int32()), "shard": [shards[i] for i in owner]}
+    return spark.createDataFrame(pa.table(columns), "slot int, shard_id int, shard string")
 
 
 def shard(

@@ -22,7 +22,8 @@ columns named ``score`` are replaced.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+import tempfile
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,8 +36,8 @@ from salesmart.llm.textarrow import NOT_ALNUM, mix64, steps, utf8, words
 
 #: Labelled documents that the model is fitted on, as expected from the hash; features of them at most.
 SAMPLE, SAMPLE_FEATURES = 16_000, 60_000_000
-#: Texts whose coordinates a task hands on at once.
-EXTRACTED = 256
+#: Texts whose coordinates a task hands on at once; bytes of text whose features it makes at once (they take some 50 times as much).
+EXTRACTED, STEP = 256, 1 << 17
 BITS = 22
 EPOCHS, ALPHA, BETA, L1, L2 = 3, 1.0, 1.0, 2.0, 0.0
 THRESHOLD = 0.7
@@ -81,7 +82,7 @@ def features(data: np.ndarray, offsets: np.ndarray, row: int, end: int, bits: in
 def text_features(texts: pa.Array, bits: int) -> Iterator[np.ndarray]:
     """The distinct coordinates of each text, in order."""
     data, offsets = utf8(texts)
-    for row, end in steps(offsets):
+    for row, end in steps(offsets, STEP):
         at, of = features(data, offsets, row, end, bits)
         keys = np.unique((of << np.int64(bits)) | at)
         cuts = np.searchsorted(keys >> np.int64(bits), np.arange(row, end + 1))
@@ -90,11 +91,30 @@ def text_features(texts: pa.Array, bits: int) -> Iterator[np.ndarray]:
             yield at[cuts[i] : cuts[i + 1]]
 
 
-def fit_rows(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, bits: int = BITS) -> Model:
+class Blocks:
+    """Blocks of rows in a scratch file without a name; each pass reads them again, one block in memory."""
+
+    def __init__(self):
+        self._file, self._cuts = tempfile.TemporaryFile(), []
+
+    def add(self, ids: np.ndarray, cuts: np.ndarray) -> None:
+        self._file.write(np.ascontiguousarray(ids, np.int32).data)
+        self._cuts.append(cuts)
+
+    def __iter__(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        self._file.seek(0)
+        for cuts in self._cuts:
+            yield np.frombuffer(self._file.read(4 * int(cuts[-1])), np.int32), cuts
+
+    def close(self) -> None:
+        self._file.close()
+
+
+def fit_rows(rows: Iterable[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, bits: int = BITS) -> Model:
     """FTRL-proximal over rows in the given order, ``EPOCHS`` times.
 
-    ``rows`` are blocks: 32-bit coordinates of rows laid end to end, and where each row
-    begins and the last one ends. They are read where they are; no row is copied.
+    ``rows`` are blocks, gone through once an epoch: 32-bit coordinates of rows laid end to
+    end, and where each row begins and the last one ends.
     """
     bias = 1 << bits
     z, n = np.zeros(bias + 1), np.zeros(bias + 1)
@@ -116,7 +136,7 @@ def fit_rows(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, bits
                     ni = n[at]
                     z[at] += g - (np.sqrt(ni + g * g) - np.sqrt(ni)) / ALPHA * of
                     n[at] = ni + g * g
-    at = np.flatnonzero(np.abs(z[:bias]) > L1)
+    at = np.flatnonzero((z[:bias] > L1) | (z[:bias] < -L1))
     return Model(float(weights(np.array([bias]), 0.0)[0]), at, weights(at, L1), bits)
 
 
@@ -148,7 +168,7 @@ def fit(
                     )
 
         def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            blocks, ys, total = [], [], 0
+            blocks, ys, total = Blocks(), [], 0
             for b in batches:
                 sizes = np.asarray(b.column("ids").value_lengths(), np.int64)
                 room = np.cumsum(sizes) + total <= SAMPLE_FEATURES
@@ -159,13 +179,15 @@ def fit(
                     b, sizes = b.filter(pa.array(room)), sizes[room]
                 else:
                     total += int(sizes.sum())
-                # a copy of 4 bytes a coordinate, so that the batch can go
-                blocks.append((np.array(b.column("ids").flatten(), np.int32), np.concatenate([[0], np.cumsum(sizes)])))
+                blocks.add(b.column("ids").flatten().to_numpy(), np.concatenate([[0], np.cumsum(sizes)]))
                 ys += b.column("y").to_pylist()
-            if not ys:
+            # what the last batch took goes before the model's sums come
+            b = None
+            pa.default_memory_pool().release_unused()
+            m = fit_rows(blocks, np.array(ys, float)) if ys else None
+            blocks.close()
+            if m is None:
                 return
-            m = fit_rows(blocks, np.array(ys, float))
-            blocks.clear()
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.append(m.at, -1)), pa.array(np.append(m.weight, m.bias))], names=["at", "weight"]
             )
@@ -185,7 +207,7 @@ def score_texts(texts: pa.Array, model: Model) -> np.ndarray:
     dense[model.at] = model.weight
     data, offsets = utf8(texts)
     sums = np.full(len(texts), model.bias)
-    for row, end in steps(offsets):
+    for row, end in steps(offsets, STEP):
         at, of = features(data, offsets, row, end, model.bits)
         live = np.flatnonzero(dense[at])
         keys = np.unique((of[live] << np.int64(model.bits)) | at[live])

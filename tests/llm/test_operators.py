@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -300,6 +301,46 @@ def test_ftrl_equals_plain_updates():
     assert np.allclose(model.weight, [want[i] for i in sorted(want)]) and 3 in want
 
 
+def most_held(work):
+    """MB that ``work`` holds at once in Python and numpy."""
+    tracemalloc.start()
+    try:
+        out = work()
+        return out, tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_toxicity_training_holds_one_block_of_rows():
+    rng = np.random.default_rng(9)
+    kept, listed, labels = toxicity.Blocks(), [], rng.integers(0, 2, 800).astype(float)
+    for _ in range(16):
+        rows = [np.sort(rng.choice(1 << 12, 2_000, replace=False)).astype(np.int32) for _ in range(50)]
+        listed.append((np.concatenate(rows), np.arange(51) * 2_000))
+        kept.add(*listed[-1])
+    kept.add(np.zeros(0, np.int32), np.zeros(1, int))
+    want = toxicity.fit_rows(listed, labels, bits=12)
+    got, held = most_held(lambda: toxicity.fit_rows(kept, labels, bits=12))
+    assert got.bias == want.bias and (got.at == want.at).all() and (got.weight == want.weight).all() and len(want.at)
+    assert held < 2  # all rows are 6.4 MB, a block is 0.4
+
+
+def test_toxicity_features_of_many_texts_take_little_memory():
+    texts = pa.array([" ".join(f"w{i}x{k}" for i in range(300)) for k in range(1_000)])
+    rows, held = most_held(lambda: sum(1 for _ in toxicity.text_features(texts, toxicity.BITS)))
+    assert rows == 1_000 and held < 20
+    model = toxicity.Model(0.0, np.arange(1 << 8), np.ones(1 << 8), 8)
+    alone = [toxicity.score_texts(texts[k : k + 1], model)[0] for k in (0, 500, 999)]
+    assert [toxicity.score_texts(texts, model)[k] for k in (0, 500, 999)] == alone
+
+
+def test_shard_table_needs_no_python_on_executors(spark):
+    table = sharding.lookup_table(spark)
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert "LocalTableScan" in plan and "ExistingRDD" not in plan
+    assert table.dtypes == [("slot", "int"), ("shard_id", "int"), ("shard", "string")] and table.count() == sharding.SLOTS
+
+
 def test_sharding(spark):
     owner = sharding.fill_table(["a", "b", "c"], 101)
     sizes = collections.Counter(owner)
