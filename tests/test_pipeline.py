@@ -335,3 +335,61 @@ def test_a_run_writes_a_month_of_sums_as_one_file(spark):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     for name in ("customer_day_totals", "seller_month_totals", "enriched"):
         assert len(spark.read.parquet(paths[name]).inputFiles()) == 3, name
+
+
+def _shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(files)
+    return {f.getName() for f in names if f.getName().startswith("shuffle_")}
+
+
+def test_landing_and_partitioned_writes_keep_no_shuffles(spark):
+    import time
+
+    from salesmart.sinks import parquet as PQ
+    from salesmart.sources import testdata as TD
+    from tests.conftest import SF_SMALL
+
+    before = _shuffle_files(spark)
+    out = tempfile.mkdtemp(prefix="salesmart-freed-")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        root = TD.land_sales(spark, SF_SMALL, f"{out}/landing")
+        fact = TD.sales_fact(spark, SF_SMALL)
+        PQ.write_partitioned(fact, f"{out}/fact", ("store_id",))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for _ in range(50):  # files go behind the write
+        left = _shuffle_files(spark) - before
+        if not left:
+            break
+        time.sleep(0.2)
+    assert not left
+    assert not os.path.exists(f"{root}-joined")
+    landed = [spark.read.option("header", True).csv(f"{root}/{n}").count() for n in ("base", "extra", "missing")]
+    assert sum(landed) + spark.read.json(f"{root}/json").count() == fact.count()
+
+
+def test_files_and_small_dimensions_are_not_shuffled_with_each_line(spark):
+    """Their columns are null in the shuffle and come back behind it; carried lines keep what they had."""
+    from salesmart.operators import enrich as EN
+
+    customer, store, product, team = dimensions(spark)
+    audit = spark.createDataFrame([("/a/day1.csv", 5, True), ("/a/day2.csv", None, True)], "path string, file_modified_ms long, accepted boolean")
+    row = "customer_id long, store_id long, product_name string, sales_date string, sales_person_id long, path string, file_modified_ms long, reason string, line string"  # noqa: E501
+    lines = spark.createDataFrame(
+        [(1, 121, "sugar", "2023-03-03", 1, "/a/day1.csv", 5, None, None), (2, 121, "besan", "2023-03-04", 77, "/a/day2.csv", None, None, None)], row
+    )
+    dims = EN.line_dims(customer, store, team, product)
+    assert all(d.small for d in dims.values())
+    whole = EN.enrich_lines(lines, dims)
+    files = PL._numbered_files(audit, 2)
+    bare = EN.without_small(EN.enrich_lines(PL._without_files(lines, files), dims), dims)
+    late = {c for d in dims.values() for c in d.rows.columns if c != d.key} | {"path", "file_modified_ms"}
+    assert not any(r[c] for r in bare.collect() for c in late)
+    own = whole.withColumn("first_name", F.lit("earlier")).withColumn("path", F.lit("/a/before.csv"))
+    both = bare.unionByName(own, allowMissingColumns=True)
+    back = PL._with_files(EN.with_small(both, dims, F.col("_file").isNotNull()), files)
+    assert sorted(map(str, back.select(*whole.columns).collect())) == sorted(map(str, whole.union(own).collect()))
+    # two files of one number are told by their paths
+    assert PL._numbered_files(audit.union(audit), 4) is None
