@@ -66,3 +66,31 @@ def test_a_drain_reads_each_sale_once(spark):
     storage.delete(spark, f"{paths.sales_team_month_mart}/sales_month=2023-04")
     process_landing_stream(spark, land, work + "/out", work + "/ckpt", **kw)
     assert published() == [0, 1, 3, 5] and totals() == {"2023-03": 450, "2023-04": 600}
+
+
+def test_a_drain_ingests_all_waiting_batches_at_once(spark):
+    """Files of noted batches are read by the publication they wait for, and again where that died half-way."""
+    from salesmart.sinks import storage
+
+    customer, store, _, team = dimensions(spark)
+    land = tempfile.mkdtemp(prefix="salesmart-sland-")
+    work = tempfile.mkdtemp(prefix="salesmart-swork-")
+    for i in range(6):
+        text = f"{BASE}\n1,121,sugar,2023-03-0{i + 1},1,50,{i + 1},{50 * (i + 1)}\n" if i != 2 else "customer_id\n1\n"
+        _write(land, f"d {i}.csv", text)
+        os.utime(f"{land}/d {i}.csv", (1_700_000_000 + i, 1_700_000_000 + i))
+    kw = dict(customer=customer, store=store, sales_team=team, max_files_per_trigger=1)
+    paths = process_landing_stream(spark, land, work + "/out", work + "/ckpt", **kw)
+
+    def found():
+        ingested = sorted(int(n.split("=")[1]) for n in storage.children(spark, paths.enriched) if "=" in n)
+        refused = spark.read.parquet(paths.quarantine).where("not is_header").count()
+        sold = [int(r.total_sales) for r in spark.read.parquet(paths.sales_team_month_mart).collect()]
+        return ingested, spark.read.parquet(paths.enriched).count(), refused, sold
+
+    assert found() == ([0, 1, 3, 5], 5, 1, [50 + 100 + 200 + 250 + 300])
+    # the last publication died, and an earlier try of it had fewer batches
+    storage.delete(spark, f"{paths.published}/upto=5")
+    spark.read.parquet(f"{paths.enriched}/batch_id=5").write.parquet(f"{paths.enriched}/batch_id=4/sales_month=2023-03")
+    process_landing_stream(spark, land, work + "/out", work + "/ckpt", **kw)
+    assert found() == ([0, 1, 3, 5], 5, 1, [50 + 100 + 200 + 250 + 300])
