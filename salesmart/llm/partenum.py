@@ -21,8 +21,9 @@ fall together are candidates, and candidates are verified on their sets.
   of near copies costs about as many comparisons as it has members. Only where
   this leaves a signature's nodes in different groups are they compared further:
   few of them pair by pair; many, together with those of signatures that share
-  nodes with theirs, in blocks of bounded size, each pair of blocks as one matrix
-  product in a task that returns only links that hold its groups together.
+  nodes with theirs, in blocks of bounded size and sets of like size, each pair of
+  blocks whose sizes allow it as one matrix product of sketches in a task, which
+  compares the sets that this leaves and returns only links that hold its groups together.
 * Before the sets of candidates meet, their parity sketches do: bits that the odd
   number of their shingles sets. Two sketches differ in no more bits than the sets
   in shingles, so that only pairs go that can't be similar. A sketch grows with its
@@ -60,8 +61,10 @@ BAND = 1.5
 FREQUENT, FREQUENT_MOST = 0.001, 1_000_000
 #: Nodes of one signature that are compared pair by pair, once its smallest node has met all.
 FEW = 64
-#: Shingles of a block of nodes (and one set more at most), and shingles that a matrix product takes at once.
-BLOCK_SHINGLES, PRODUCT_COLUMNS = 300_000, 2_048
+#: Shingles of a block of nodes (and one set more at most).
+BLOCK_SHINGLES = 300_000
+#: Rows of a block whose sketches are held against all others at once.
+STEP_ROWS = 256
 #: Rows of two numbers each that are broadcast at most; more are joined by a shuffle.
 BROADCAST_ROWS = 500_000
 #: A node counts as this many shingles at least, which bounds the nodes of a block.
@@ -417,50 +420,74 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
     return staged(met.mapInArrow(check, "hub long, fp long").distinct(), "links")
 
 
+def similar_steps(
+    fp: np.ndarray, n: np.ndarray, offsets: np.ndarray, values: np.ndarray, num: int, den: int
+) -> Iterator[tuple[int, np.ndarray]]:
+    """Walks each group of similar sets from its smallest node: a place, and those that it reaches first.
+
+    Parity sketches, all against all as one matrix product, leave the pairs whose sets are compared.
+    """
+    bits = max(SKETCH_BITS, 1 << int(n.mean()).bit_length()) if len(n) else SKETCH_BITS
+    values = values[offsets[0] : offsets[-1]]
+    owner = np.repeat(np.arange(len(n)), n)
+    place = owner * bits + (values & (bits - 1))
+    odd = (np.bincount(place, minlength=len(n) * bits) & 1).astype(np.float32).reshape(len(n), bits)
+    ones = odd.sum(axis=1)
+    maybe = np.empty((len(n), len(n)), bool)
+    for lo in range(0, len(n), STEP_ROWS):
+        rows = slice(lo, lo + STEP_ROWS)
+        # bits in which two sketches differ, at most the shingles in which their sets do; a little more is let through than floats round
+        apart = ones[rows, None] + ones[None, :] - 2 * (odd[rows] @ odd.T)
+        maybe[rows] = apart * (den + num) <= (n[rows, None] + n[None, :]) * (den - num) * (1 + 1e-5) + 1
+    del odd
+    start = offsets - offsets[0]
+    left = np.ones(len(n), bool)
+    for first in np.argsort(fp, kind="stable"):
+        ahead = [int(first)] if left[first] else []
+        left[first] = False
+        while ahead:
+            i = ahead.pop()
+            small, large = np.minimum(n, n[i]), np.maximum(n, n[i])
+            some = np.flatnonzero(left & maybe[i] & (small * den >= large * num))
+            if not len(some):
+                continue
+            own = np.sort(values[start[i] : start[i + 1]])
+            theirs = np.concatenate([values[start[j] : start[j + 1]] for j in some])
+            at = np.searchsorted(own, theirs)
+            at[at == len(own)] = 0
+            shares = np.add.reduceat((own[at] == theirs).astype(np.int64), np.concatenate([[0], np.cumsum(n[some])[:-1]]))
+            near = some[shares * den >= (n[i] + n[some] - shares) * num]
+            left[near] = False
+            ahead += near.tolist()
+            yield i, near
+
+
 def _block_links(nodes: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs (hub, fp) that hold together what is similar among the nodes (cluster, fp) of each cluster."""
-    along = Window.partitionBy("cluster").orderBy("fp").rowsBetween(Window.unboundedPreceding, -1)
+    # blocks by size: only those that lie near enough can hold similar sets
+    along = Window.partitionBy("cluster").orderBy("n", "fp").rowsBetween(Window.unboundedPreceding, -1)
     weight = F.greatest("n", F.lit(NODE_SHINGLES))
     sized = nodes.join(sets.select("fp", "n"), "fp").withColumn(
         "block", F.floor(F.coalesce(F.sum(weight).over(along), F.lit(0)) / BLOCK_SHINGLES).cast("int")
     )
-    last = sized.groupBy(F.col("cluster").alias("_c")).agg(F.max("block").alias("last"))
-    dealt = sized.drop("n").join(last, F.col("cluster") == F.col("_c")).select(
-        "cluster", "fp", "block", F.explode(F.sequence(F.lit(0), "last")).alias("other")
+    sized = staged(sized, "blocks")
+    blocks = sized.groupBy("cluster", F.col("block").alias("a")).agg(F.max("n").alias("largest"))
+    others = sized.groupBy(F.col("cluster").alias("_c"), F.col("block").alias("b")).agg(F.min("n").alias("smallest"))
+    near = (F.col("a") == F.col("b")) | ((F.col("a") < F.col("b")) & (F.col("largest") * den >= F.col("smallest") * num))
+    met = blocks.join(others, (F.col("cluster") == F.col("_c")) & near).select(F.col("cluster").alias("_c"), "a", "b")
+    met = staged(met, "block-pairs")
+    sides = met.withColumn("_b", F.col("a")).union(met.where("a < b").withColumn("_b", F.col("b")))
+    dealt = sized.drop("n").join(sides, (F.col("cluster") == F.col("_c")) & (F.col("block") == F.col("_b")))
+    keyed = dealt.select("cluster", "fp", "a", "b").join(
+        _only(sets, nodes.select(F.col("fp").alias("_f")), F.col("fp") == F.col("_f")).drop("sketch"), "fp"
     )
-    keyed = dealt.select(
-        "cluster", "fp", "block", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b")
-    ).join(_only(sets, nodes.select(F.col("fp").alias("_f")), F.col("fp") == F.col("_f")).drop("sketch"), "fp")
 
     def compare(group: pa.Table) -> pa.Table:
         group = group.combine_chunks()
         fp, n = group.column("fp").to_numpy(), group.column("n").to_numpy()
         shingles = group.column("shingles").combine_chunks()
-        values = shingles.values.to_numpy()[shingles.offsets[0].as_py() : shingles.offsets[-1].as_py()]
-        owner = np.repeat(np.arange(len(fp)), n)
-        _, column, seen = np.unique(values, return_inverse=True, return_counts=True)
-        shared = seen[column] > 1  # others are in no intersection
-        _, column = np.unique(column[shared], return_inverse=True)
-        owner = owner[shared]
-        both = np.zeros((len(fp), len(fp)), np.float32)
-        for lo in range(0, int(column.max()) + 1 if len(column) else 0, PRODUCT_COLUMNS):
-            at = (column >= lo) & (column < lo + PRODUCT_COLUMNS)
-            held = np.zeros((len(fp), PRODUCT_COLUMNS), np.float32)
-            held[owner[at], column[at] - lo] = 1
-            both += held @ held.T
-        # walk each group from its smallest node; a step is a link
-        left = np.ones(len(fp), bool)
-        links: list[tuple[int, int]] = []
-        for first in np.argsort(fp, kind="stable"):
-            ahead = [int(first)] if left[first] else []
-            left[first] = False
-            while ahead:
-                i = ahead.pop()
-                shares = np.rint(both[i]).astype(np.int64)
-                near = np.flatnonzero(left & (shares * den >= (n[i] + n - shares) * num))
-                left[near] = False
-                links += [(i, int(j)) for j in near]
-                ahead += near.tolist()
+        links = [x for i, near in similar_steps(fp, n, shingles.offsets.to_numpy(), shingles.values.to_numpy(), num, den) for x in
+                 zip([i] * len(near), near.tolist(), strict=True)]
         at = np.array(links, np.int64).reshape(-1, 2)
         return pa.table({"hub": fp[at[:, 0]], "fp": fp[at[:, 1]]})
 

@@ -462,3 +462,70 @@ def test_sketches_never_differ_in_more_bits_than_the_sets_in_shingles():
         assert differ <= len(np.setxor1d(a, b))
         assert partenum.sketches_differ(partenum.sketch(a), partenum.sketch(a)) == 0
     assert partenum.sketches_differ(partenum.sketch(shared[:0]), partenum.sketch(shared[:1])) == 1
+
+
+def test_partenum_steps_compare_only_what_sketches_leave():
+    """Groups of a block equal all pairs' groups, and unlike sets are not compared shingle by shingle."""
+    import numpy as np
+
+    from salesmart.llm import partenum
+
+    rng = np.random.default_rng(5)
+    sets = []
+    for size in rng.integers(4, 400, 60):
+        base = rng.integers(-(2**62), 2**62, size)
+        for _ in range(rng.integers(1, 5)):
+            kept = base[rng.random(size) > rng.choice([0.0, 0.05, 0.15])]
+            sets.append(np.unique(np.concatenate([kept, rng.integers(-(2**62), 2**62, rng.integers(0, max(1, size // 8) + 1))])))
+    sets = [e for e in sets if len(e)]
+    n, fp = np.array([len(e) for e in sets]), rng.permutation(len(sets)).astype(np.int64)
+    offsets, values = np.concatenate([[0], np.cumsum(n)]).astype(np.int32), np.concatenate(sets)
+
+    def roots(links):
+        up = list(range(len(sets)))
+
+        def root(x):
+            while up[x] != x:
+                x = up[x]
+            return x
+
+        for i, j in links:
+            up[root(i)] = root(j)
+        seen: dict[int, int] = {}
+        return [seen.setdefault(root(x), x) for x in range(len(sets))]
+
+    alike = [
+        (i, j)
+        for i in range(len(sets))
+        for j in range(i)
+        if (both := len(np.intersect1d(sets[i], sets[j]))) * 100 >= (n[i] + n[j] - both) * 80
+    ]
+    steps = [(i, int(j)) for i, near in partenum.similar_steps(fp, n, offsets, values, 80, 100) for j in near]
+    assert len(alike) > 20 and set(map(tuple, map(sorted, steps))) <= set(map(tuple, map(sorted, alike)))
+    assert roots(steps) == roots(alike)
+    # a slice of a longer column, as Arrow may hand over
+    again = partenum.similar_steps(fp, n, offsets + 3, np.concatenate([[1, 2, 3], values]), 80, 100)
+    assert [(i, int(j)) for i, near in again for j in near] == steps
+
+
+def test_partenum_blocks_of_unlike_sizes_do_not_meet(spark, monkeypatch):
+    from salesmart.llm import partenum
+
+    monkeypatch.setattr(partenum, "BLOCK_SHINGLES", 600)
+    seen = []
+    kept = partenum.staged
+    monkeypatch.setattr(partenum, "staged", lambda df, label, *a: seen.append((label, r := kept(df, label, *a))) or r)
+    rows = [(k, f, size) for k, size in enumerate([100, 110, 400, 410]) for f in range(k * 10, k * 10 + 4)]
+    sets = spark.createDataFrame(
+        [(f, size, list(range(k * 10_000, k * 10_000 + size - f % 10)) + [10**9 + f * 10 + i for i in range(f % 10)]) for k, f, size in rows],
+        "fp long, n long, shingles array<long>",
+    ).withColumn("sketch", F.lit(b""))
+    nodes = spark.createDataFrame([(0, f) for _, f, _ in rows], "cluster long, fp long")
+    links = partenum._block_links(nodes, sets, 80, 100)
+    assert {r.hub // 10 for r in links.collect()} == {0, 1, 2, 3}
+    assert all(r.hub // 10 == r.fp // 10 for r in links.collect())
+    held = links.select("fp").union(links.select("hub")).distinct().count()
+    assert held == len(rows)
+    pairs = {(r.a, r.b) for r in dict(seen)["block-pairs"].collect()}
+    blocks = {r.block for r in dict(seen)["blocks"].collect()}
+    assert len(pairs) < len(blocks) * (len(blocks) + 1) // 2
